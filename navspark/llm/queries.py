@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navspark.llm import decontamination, exact_dedup, urls
-from navspark.llm.common import table
+from navspark.llm import decontamination, exact_dedup, quality, toxicity, urls
+from navspark.llm.common import fold, table
 
 #: The list that op1 judges by: action, host, path prefix.
 URL_RULES = [
@@ -29,6 +29,15 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score_quality(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 5) != 0, ["doc_id"]
+    )
+    return scored.select(
+        "doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     hits = decontamination.window_hits(docs, table(spark, sf_dir, "benchmark"))
@@ -43,10 +52,21 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 4) != 2, ["doc_id"]
+    )
+    return scored.select(
+        "doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_decontamination": op5_decontamination,
+    "op6_toxicity": op6_toxicity,
 }
 
 _HOST = r"translate(coalesce(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
