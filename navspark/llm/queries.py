@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navspark.llm import decontamination, exact_dedup, quality, toxicity, urls
+from navspark.llm import decontamination, exact_dedup, language_id, quality, toxicity, urls
 from navspark.llm.common import fold, table
 
 #: The list that op1 judges by: action, host, path prefix.
@@ -61,12 +61,19 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = language_id.identify(docs, fold(F.col("doc_id"), 4) != 2, ["doc_id"])
+    return judged.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
+    "op9_language_id": op9_language_id,
 }
 
 _HOST = r"translate(coalesce(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
