@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navspark.llm import decontamination, exact_dedup, language_id, quality, toxicity, urls
+from navspark.llm import decontamination, exact_dedup, language_id, packing, quality, toxicity, urls
 from navspark.llm.common import fold, table
 
+TOKENIZER = "byte_bpe_50k.json"
 #: The list that op1 judges by: action, host, path prefix.
 URL_RULES = [
     ("block", "com", "/en/"),
@@ -67,6 +69,10 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(TOKENIZER))
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
@@ -74,6 +80,7 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op9_language_id": op9_language_id,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 _HOST = r"translate(coalesce(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
