@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navspark.llm import decontamination, exact_dedup, language_id, packing, quality, toxicity, urls
+from navspark.llm import decontamination, exact_dedup, language_id, packing, quality, secrets, toxicity, urls
 from navspark.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -63,6 +63,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged = language_id.identify(docs, fold(F.col("doc_id"), 4) != 2, ["doc_id"])
@@ -79,6 +83,7 @@ QUERIES = {
     "op4_quality_classifier": op4_quality_classifier,
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
+    "op7_secret_scan": op7_secret_scan,
     "op9_language_id": op9_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
