@@ -64,7 +64,9 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    found = secrets.scan_secrets(table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, "spans", "n_added")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,6 @@ from __future__ import annotations
 import base64
 import binascii
 import bz2
-import hashlib
 import lzma
 import re
 import zlib
@@ -221,26 +220,26 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 
 
 def scan_secrets(docs: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_added for each row of ``docs``."""
+    """doc_id, n_assign, n_access, n_hex, base, spans, n_added for each row of ``docs``."""
     rows = docs.select("doc_id", "text")
-    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_added long"
+    schema = f"doc_id {dict(rows.dtypes)['doc_id']}, n_assign long, n_access long, n_hex long, base string, spans string, n_added long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts: list[list[int]] = [[], [], []]
-            digests, spans, added = [], [], []
+            bases, spans, added = [], [], []
             data, offsets = text_bytes(batch.column("text"))
             raw = data.tobytes()
             for i, j in zip(offsets[:-1], offsets[1:], strict=True):
                 base, found = secrets(raw[i:j].decode("utf-8", "replace"))
                 for kind in range(3):
                     counts[kind].append(sum(k == kind for _, k, _ in base))
-                digests.append(hashlib.sha256(joined(base).encode()).hexdigest())
+                bases.append(joined(base))
                 spans.append(joined(found))
                 added.append(len(found) - len(base))
-            made = [pa.array(c, pa.int64()) for c in counts] + [pa.array(digests, pa.string()), pa.array(spans, pa.string()), pa.array(added, pa.int64())]
+            made = [pa.array(c, pa.int64()) for c in counts] + [pa.array(bases, pa.string()), pa.array(spans, pa.string()), pa.array(added, pa.int64())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *made], ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_added"]
+                [batch.column("doc_id"), *made], ["doc_id", "n_assign", "n_access", "n_hex", "base", "spans", "n_added"]
             )
 
     return rows.mapInArrow(run, schema)
