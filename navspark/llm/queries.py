@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navspark.llm import decontamination, exact_dedup, language_id, packing, quality, secrets, toxicity, urls
+from navspark.llm import decontamination, exact_dedup, language_id, packing, quality, secrets, substrings, toxicity, urls
 from navspark.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -69,6 +69,18 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, "spans", "n_added")
 
 
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substrings.remove_repeats(table(spark, sf_dir, "documents"))
+    n_kept = F.octet_length("kept").cast("long")
+    return done.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - n_kept).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     judged = language_id.identify(docs, fold(F.col("doc_id"), 4) != 2, ["doc_id"])
@@ -86,6 +98,7 @@ QUERIES = {
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_secret_scan": op7_secret_scan,
+    "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_language_id": op9_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
