@@ -12,15 +12,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder and read from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: what the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only a
-    session without one (tests, a laptop) gets a folder of its own.
+    Only a session without one (tests, a laptop) gets a folder of its own.
     """
-    sc = df.sparkSession.sparkContext
-    if sc.getConf().get("spark.checkpoint.dir") is None and sc.getCheckpointDir() is None:
+    sc = spark.sparkContext
+    named = sc.getConf().get("spark.checkpoint.dir")
+    if named is None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return named or sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read from there."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
@@ -56,3 +62,11 @@ def bounded_labels(labels: DataFrame, value: str, keep: Column, per_class: int)
     order = [F.xxhash64(F.col("doc_id"), F.lit(29)), F.col("doc_id")]
     parts = [rows.where(F.col("label") == k).orderBy(*order).limit(per_class) for k in (0, 1)]
     return parts[0].unionByName(parts[1])
+
+
+def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` named in ``kept`` (doc_id, th: xxhash64 of the text), one of each; columns unchanged."""
+    (th,) = fresh(docs, "nv_th")
+    kept = kept.select(F.col("doc_id").alias("nv_kept_id"), F.col("th").alias("nv_kept_th"))
+    same = (F.col(th) == F.col("nv_kept_th")) & F.col("doc_id").eqNullSafe(F.col("nv_kept_id"))
+    return docs.withColumn(th, F.xxhash64("text")).join(kept, same, "left_semi").dropDuplicates(["doc_id", th]).drop(th)

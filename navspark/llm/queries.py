@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navspark.llm import decontamination, exact_dedup, language_id, packing, quality, secrets, substrings, toxicity, urls
+from navspark.llm import decontamination, exact_dedup, language_id, minhash, packing, quality, secrets, substrings, toxicity, urls
 from navspark.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -31,6 +31,11 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "class_id", "class_size", F.col("first").alias("kept"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score_quality(
         table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 5) != 0, ["doc_id"]
@@ -94,6 +99,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_order_minhash": op3_order_minhash,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
