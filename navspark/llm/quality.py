@@ -2,7 +2,9 @@
 
 Every window of 64 bytes of a text is compressed with both dictionaries; the
 normalised difference of the summed sizes, ``(bad - good) / (bad + good)``, is
-turned into a probability by logistic calibration.
+turned into a probability by logistic calibration, together with how far the
+good dictionary shrinks the text at all: text that repeats itself is small under
+either dictionary.
 
 The fit uses at most PER_CLASS labelled rows of each class. If a class has no
 labelled text, every document scores the share of label 1 (0.5 without labels).
@@ -28,6 +30,8 @@ PER_CLASS = 3000
 #: A score of at least this predicts label 1.
 THRESHOLD = 0.3
 WIDTH = 64
+#: A window that shrinks below this share of its size repeats itself.
+EASY = 0.38
 DICTIONARY = 110 * 1024
 _HOW = dict(compression_level=3, window_log=17)
 
@@ -42,15 +46,20 @@ def _train(texts: list[bytes]) -> bytes:
 
 
 def size_difference(bad: bytes, good: bytes):
-    """A function of (bytes, offsets): difference, log of the size, and their product for each text."""
+    """A function of (bytes, offsets): the NAMES features of each text."""
 
     def of_texts(data: bytes, offsets: np.ndarray) -> np.ndarray:
         with_bad, with_good = C.compressor(bad, **_HOW), C.compressor(good, **_HOW)
-        out = np.zeros((len(offsets) - 1, 3))
+        out = np.zeros((len(offsets) - 1, len(NAMES)))
         for first, last in runs(offsets):
             start, length, owner = windows(offsets[first : last + 1], WIDTH, WIDTH)
-            b, g = (np.bincount(owner, C.lengths(x, data, start, length), last - first) for x in (with_bad, with_good))
+            bads, goods = (C.lengths(x, data, start, length) for x in (with_bad, with_good))
+            b, g = (np.bincount(owner, x, last - first) for x in (bads, goods))
             out[first:last, 0] = (b - g) / np.maximum(b + g, 1)
+            size = np.diff(offsets[first : last + 1])
+            out[first:last, 3] = g / np.maximum(size, 1)
+            easy = np.bincount(owner, (goods < EASY * length) * length, last - first)
+            out[first:last, 4] = easy / np.maximum(size, 1)
         out[:, 1] = np.log1p(np.diff(offsets))
         out[:, 2] = out[:, 0] * out[:, 1]
         return out
@@ -58,7 +67,8 @@ def size_difference(bad: bytes, good: bytes):
     return of_texts
 
 
-NAMES = ["nv_diff", "nv_log", "nv_both"]
+#: Normalised difference, log of the size, their product, compressed share of the size, share of easily compressed windows.
+NAMES = ["nv_diff", "nv_log", "nv_both", "nv_share", "nv_easy"]
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, train: Column, keep: list[str], score: str = "score") -> DataFrame:
