@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from navspark.llm.arrow_text import runs, text_bytes
-from navspark.llm.common import cut
+from navspark.llm.common import cut, stored
 
 LENGTH = 200
 KEY = 40
@@ -179,7 +179,7 @@ def _settle(rows: DataFrame, group: list[str], variant: list[str], rep: list[str
     variants = rows.groupBy(*group, *variant).agg(
         F.count("*").alias("m"), F.max(F.col("single").cast("int")).alias("s"), F.min(F.struct(*rep)).alias("rep")
     )
-    variants = cut(variants)
+    variants = stored(variants)
     groups = variants.groupBy(*group).agg(
         F.sum("m").alias("n"), F.max(F.when((F.col("m") == 1) & (F.col("s") == 1), 1).otherwise(0)).alias("open")
     )
@@ -267,10 +267,10 @@ def _split(open_ranges: DataFrame, size: int, length: int) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY, sizes: tuple[int, ...] = SIZES) -> DataFrame:
     """doc_id, th, start, end of byte ranges whose windows occur elsewhere; ``docs`` has doc_id, text, th."""
-    rows = cut(_rows(docs, length, key, _bloom(docs, length, key), False).withColumn("single", F.lit(True)))
+    rows = stored(_rows(docs, length, key, _bloom(docs, length, key), False).withColumn("single", F.lit(True)))
     repeated, left = _settle(rows, ["name"], ["lo", "hi", "u"], ["doc_id", "th", "a"])
     spans = [repeated.select("doc_id", "th", (F.col("a") - F.col("hi")).alias("start"), (F.col("a") - F.col("lo") + length).alias("end"))]
-    contexts = cut(_contexts(docs, left, length))
+    contexts = stored(_contexts(docs, left, length))
     ranges = contexts.withColumns({"part_lo": F.col("lo"), "part_hi": F.col("hi")})
     same = ["name", "u", "lo", "hi"]
     for size in sizes:
