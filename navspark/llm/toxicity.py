@@ -1,8 +1,8 @@
 """Toxicity by compression distance: windows under an ordinary and a toxic dictionary.
 
 Both zstandard dictionaries start with the same one, trained on ordinary text.
-The toxic one ends in what is typical of toxic text: the strings whose byte
-grams occur in far more toxic than ordinary documents of the sample. The
+The toxic one ends in what is typical of toxic text: words, and strings inside
+words, that occur in far more toxic than ordinary documents of the sample. The
 ordinary one ends in as many bytes that match nothing, so that a window's two
 compressed sizes differ only where the toxic ending was of use. Every window of
 64 bytes (a step of 32) is compared: first with a fast search, then, where the
@@ -19,6 +19,7 @@ unknown or null ids are ignored.
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 
 import numpy as np
@@ -43,6 +44,10 @@ _FAST = dict(window_log=17, hash_log=17, chain_log=17, min_match=5, search_log=4
 _THOROUGH = dict(window_log=17, hash_log=17, chain_log=17, min_match=5, search_log=4, strategy=zstandard.STRATEGY_BTLAZY2)
 
 
+#: A word with the space before it, and what follows it.
+_WORD = re.compile(rb"( [A-Za-z\x80-\xff]{4,})(?=(.{0,12}))", re.S)
+
+
 def _grams(text: bytes) -> np.ndarray:
     a = np.frombuffer(text, np.uint8).astype(np.uint64)
     n = len(a) - GRAM + 1
@@ -62,7 +67,7 @@ def _count_of(grams: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.nda
 
 
 def typical(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Strings inside words that are typical of toxic text, the most frequent first; none holds another."""
+    """Words and strings inside words that are typical of toxic text, the most frequent first; none holds another."""
     keys, counts = _document_counts(toxic)
     base = _count_of(keys, *_document_counts(ordinary))
     least = max(LEAST, SHARE * len(toxic))
@@ -82,11 +87,13 @@ def typical(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
         if len(at):
             gap = np.flatnonzero(np.diff(at) > 1)
             found.update(text[i:j] for i, j in zip(np.r_[at[0], at[gap + 1]], np.r_[at[gap], at[-1]] + GRAM, strict=True))
+    places = {(w, after) for t in toxic for w, after in _WORD.findall(t)}  # near copies share what follows, and count once
+    plain = Counter(w for t in ordinary for w in {w for w, _ in _WORD.findall(t)})
+    whole = {w: n for w, n in Counter(w for w, _ in places).items() if n >= least and n / len(toxic) >= RATIO * (plain[w] + 1) / len(ordinary)}
     out: list[bytes] = []
-    for s, _ in sorted(found.items(), key=lambda x: (-x[1], x[0])):
-        if sum(map(len, out)) + len(s) > ENDING:
-            break
-        if not any(s in x for x in out):
+    for s, _ in [*sorted(found.items(), key=lambda x: (-x[1], x[0])), *sorted(whole.items(), key=lambda x: (-x[1], x[0]))]:
+        known = any(x in s for x in out) if s in whole else False  # a word is told by a string inside it already
+        if sum(map(len, out)) + len(s) <= ENDING and not known and not any(s in x for x in out):
             out.append(s)
     return out
 

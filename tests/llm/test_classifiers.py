@@ -9,8 +9,8 @@ from navspark.llm.queries import QUERIES
 SF = "/root/testdata/sf0.1"
 
 
-def scored(spark, name, label):
-    rows = QUERIES[name](spark, SF).where("held_out").join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").select("score", "predicted", label)
+def scored(spark, name, label, sf=SF):
+    rows = QUERIES[name](spark, sf).where("held_out").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").select("score", "predicted", label)
     return [(r.score, r.predicted, r[label]) for r in rows.collect()]
 
 
@@ -22,7 +22,8 @@ def test_quality_held_out(spark):
 
 
 def test_toxicity_held_out(spark):
-    rows = scored(spark, "op6_toxicity", "toxic")
+    # Toxic words of the rarer languages need more labelled texts than sf0.1 has.
+    rows = scored(spark, "op6_toxicity", "toxic", "/root/testdata/check_s")
     toxic, ordinary = [p for _, p, y in rows if y == 1], [p for _, p, y in rows if y == 0]
     assert sum(toxic) / len(toxic) > 0.9 and sum(ordinary) / len(ordinary) < 0.01
 
