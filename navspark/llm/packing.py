@@ -40,7 +40,7 @@ CAPACITY = 2048
 #: Pieces that are packed together in one task.
 GROUP = 8192
 #: Distinct stretches that a worker remembers.
-CACHE = 1_000_000
+CACHE = 250_000
 RUN_BYTES = 4 << 20
 
 # Fixed value: how the byte-level BPE of this vocabulary splits text into words.

@@ -73,3 +73,11 @@ def test_every_constraint_holds(rule):
         assert own.sum() <= 1000 and len(own) <= 5 and (own**2).sum() <= 200_000
     plain, _ = P.vector_best_fit(length, 1000)
     assert plain.max() + 1 <= 1.01 * -(-length.sum() // 1000) + 1
+
+
+def test_ids_beyond_the_cache(monkeypatch, reference):
+    monkeypatch.setattr(P, "CACHE", 3)
+    texts = ["one two three four five six one two seven", "eight one nine"] + TRICKY
+    raw = [t.encode() for t in texts]
+    ids, begin = P.Encoder(PATH).ids(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(r) for r in raw])))
+    assert [ids[begin[k] : begin[k + 1]].tolist() for k in range(len(texts))] == [e.ids for e in reference.encode_batch(texts, add_special_tokens=False)]
