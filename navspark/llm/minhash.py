@@ -121,13 +121,17 @@ def sketch(labelled: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     for o in range(ORDERS):
         value = _mix(labelled ^ _mix(np.array([o + 1], np.uint64) * _FOLD)) >> np.uint64(32)
         # text, part (the first bits of the hash), hash, place: sorted as one number
-        key = np.sort((owner << np.uint64(52)) | (value << np.uint64(20)) | place)
-        group = key >> np.uint64(50)
+        if len(owner) <= 1 << 20:
+            key = np.sort((owner << np.uint64(52)) | (value << np.uint64(20)) | place)
+            group, places = key >> np.uint64(50), (key & np.uint64((1 << 20) - 1)).astype(np.int64)
+        else:  # a long text has places that the number has no room for
+            places = np.lexsort((value, owner))
+            group = ((owner << np.uint64(2)) | (value >> np.uint64(30)))[places]
         begin = np.searchsorted(group, np.arange(texts * PARTS, dtype=np.uint64))
-        end = np.append(begin[1:], len(key))
+        end = np.append(begin[1:], len(places))
         at = begin[:, None] + np.arange(LEAST)
         there = at < end[:, None]
-        where = (key[np.minimum(at, max(len(key) - 1, 0))] & np.uint64((1 << 20) - 1)).astype(np.int64) if len(key) else np.zeros(at.shape, np.int64)
+        where = places[np.minimum(at, max(len(places) - 1, 0))] if len(places) else np.zeros(at.shape, np.int64)
         where = np.sort(np.where(there, where, 1 << 40), axis=1)  # back to the order of the text
         there = where < 1 << 40
         bucket = np.full(len(begin), np.uint64(0))

@@ -112,3 +112,14 @@ def test_similarity_is_the_aligned_share():
     b = np.concatenate([a[:50], a[60:]])
     assert abs(minhash.similarity(a, b) - 0.9) < 1e-9
     assert minhash.similarity(a, np.concatenate([a[50:], a[:50]]), 0.3) < 0.8
+
+
+def test_buckets_of_texts_beyond_a_million_shingles():
+    rnd = np.random.RandomState(5)
+    a = rnd.randint(1, 1 << 62, (1 << 20) + 300_000, dtype=np.int64).astype(np.uint64)
+    b = np.concatenate([a[:400_000], rnd.randint(1, 1 << 62, 2000, dtype=np.int64).astype(np.uint64), a[400_000:]])
+    one, two = (minhash.sketch(x, np.array([0, len(x)])) for x in (a, b))
+    assert (one == two).mean() > 0.9
+    short = a[: 1 << 19]  # the same buckets whether it stands alone or behind a long text
+    both = minhash.sketch(np.concatenate([a, short]), np.array([0, len(a), len(a) + len(short)]))
+    assert (both[0] == one[0]).all() and (both[1] == minhash.sketch(short, np.array([0, len(short)]))[0]).all()
