@@ -14,9 +14,11 @@ compared with a representative, not with every other text: first with the one
 it shares most buckets with. Then, for ROUNDS rounds or until no bucket holds
 texts of several components, one member of each component in a bucket is
 compared with that of one of them, all drawn at random in every bucket and
-round. So the number of comparisons grows with the texts, not with the square
-of a group; two components whose only links are between few of their members
-meet in about ten buckets a round and may stay apart if no such pair is drawn.
+round. That settles most buckets at little cost. Those that still hold several
+components are finished exactly: the texts they connect form a cluster, a
+cluster is dealt to blocks, and every pair of blocks is compared in one task,
+all pairs of texts of different components. A pair is passed over only if its
+lengths or the bits of its shingles rule out the threshold.
 
 At similarity 0.8 two texts share each of the 32 buckets with a probability of
 about 0.8 ** 5, so a pair is missed with a probability of 3e-6, and less above.
@@ -48,6 +50,10 @@ THRESHOLD = 0.8
 ORDERS, PARTS, LEAST = 8, 4, 5
 #: How often the components that meet in a bucket are compared there.
 ROUNDS = 4
+#: A block of the exact finish has about so many texts and words at most (but one text at least).
+BLOCK_TEXTS, BLOCK_WORDS = 1024, 500_000
+#: Bits that stand for the shingles of a text there, at most.
+MAX_BITS = 1 << 16
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNDO = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -260,6 +266,77 @@ def _candidates(live: DataFrame, number: int) -> DataFrame:
     return pairs.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct()
 
 
+def _bits(sequences: list[np.ndarray]) -> np.ndarray:
+    """A row of bits for each sequence: those that its shingles hash to."""
+    longest = max(len(x) for x in sequences)
+    width = min(max(1 << (16 * longest).bit_length(), 64), MAX_BITS)
+    out = np.zeros((len(sequences), width // 64), np.uint64)
+    for row, own in zip(out, sequences, strict=True):
+        at = _mix(own) & np.uint64(width - 1)
+        np.bitwise_or.at(row, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+    return out
+
+
+def _block_links(group: pa.Table, threshold: float) -> list[tuple[int, int]]:
+    """Pairs of nodes at ``threshold`` or above that join the components of a block, or of two blocks, wherever such pairs do."""
+    press = zstandard.ZstdDecompressor()
+    texts = [press.decompress(z) for z in group.column("z").to_pylist()]
+    offsets = np.append(0, np.cumsum([len(t) for t in texts]))
+    sequences: list[np.ndarray] = []
+    for i, j in _short_runs(offsets):
+        data = np.frombuffer(b"".join(texts[i:j]), np.uint8)
+        labelled, begin = shingles(*text_words(data, offsets[i : j + 1] - offsets[i]))
+        sequences += [labelled[x:y] for x, y in zip(begin[:-1], begin[1:], strict=True)]
+    node, comp, second = (group.column(c).to_numpy() for c in ("node", "comp", "second"))
+    comp = comp.copy()
+    size, bits = np.array([len(x) for x in sequences]), _bits(sequences)
+    two = bool(second.any())
+    links = []
+    for a in np.flatnonzero(~second) if two else range(len(node)):
+        need = threshold * (size[a] + size) / (1 + threshold) - 1e-9
+        may = (comp != comp[a]) & (np.minimum(size, size[a]) >= need)
+        may[: a + 1] &= two
+        if two:
+            may &= second
+        for b in np.array_split(at := np.flatnonzero(may), len(at) // 256 + 1):
+            # A bit of one text that the other lacks stands for a shingle, or more, that the other lacks.
+            b = b[size[a] - np.bitwise_count(bits[a] & ~bits[b]).sum(1, dtype=np.int64) >= need[b]]
+            b = b[size[b] - np.bitwise_count(bits[b] & ~bits[a]).sum(1, dtype=np.int64) >= need[b]]
+            for k in b.tolist():
+                if comp[k] != comp[a] and similarity(sequences[a], sequences[k], threshold) >= threshold:
+                    links.append((int(node[a]), int(node[k])))
+                    comp[comp == comp[k]] = comp[a]
+    return links
+
+
+def _exact_links(buckets: DataFrame, labels: DataFrame, tested: DataFrame, sizes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame | None:
+    """(a, b) that join all components with a pair at ``threshold`` or above in a bucket; None if no bucket is open."""
+    live = buckets.join(labels, "node")
+    mixed = live.groupBy("bucket").agg(
+        F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b")
+    )
+    mixed = mixed.where("c1 != c2")
+    pairs = mixed.where("n = 2").join(tested.select("a", "b"), ["a", "b"], "left_anti").select("bucket", "a")
+    left = mixed.where("n > 2").select("bucket", "a").unionByName(pairs)
+    star = stored(buckets.join(left, "bucket").select("a", F.col("node").alias("b")).distinct())
+    if star.isEmpty():
+        return None
+    nodes = star.select(F.col("b").alias("node")).distinct()
+    clusters = merge_components(nodes.withColumn("comp", F.col("node")), star.where("a != b")).toDF("node", "cluster")
+    placed = stored(clusters.join(sizes, "node").join(labels, "node"))
+    blocks = placed.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("n_words") / BLOCK_WORDS)).cast("int").alias("blocks"))
+    own, other = F.pmod(F.xxhash64("node"), "blocks").cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = placed.join(blocks, "cluster").select("cluster", "node", "comp", own.alias("own"), other.alias("other"))
+    dealt = dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other"), "second": F.col("own") > F.col("other")})
+
+    def run(group: pa.Table) -> pa.Table:
+        links = _block_links(group, threshold)
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    both = dealt.join(texts, "node").select("cluster", "i", "j", "node", "comp", "second", "z")
+    return cut(both.groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, th (xxhash64 of the text), class_id, class_size, first for each row of ``docs``.
 
@@ -293,6 +370,10 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             break
         labels = merge_components(labels, found.where(F.col("sim") >= threshold))
         tested = cut(tested.unionByName(found))
+    sizes = nodes.select(F.col("rid").alias("node"), "n_words")
+    links = _exact_links(buckets, labels, tested, sizes, texts, threshold)
+    if links is not None:
+        labels = merge_components(labels, links)
     whole = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     order = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("id"), F.col("rid").alias("rid"))
     named = whole.groupBy("comp").agg(F.min(order).alias("head"), F.count("*").alias("class_size"))

@@ -114,6 +114,31 @@ def test_similarity_is_the_aligned_share():
     assert minhash.similarity(a, np.concatenate([a[50:], a[:50]]), 0.3) < 0.8
 
 
+def test_pairs_among_many_dissimilar_variants(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_TEXTS", 24)
+    rnd = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(5000)]
+    base = [rnd.choice(vocabulary) for _ in range(300)]
+
+    def changed(words, places):
+        words = list(words)
+        for k in places:
+            words[k] = rnd.choice(vocabulary)
+        return words
+
+    # Variants of one text at about 0.71, which share buckets; some have one near copy at about 0.84.
+    texts = [changed(base, rnd.sample(range(300), 5)) for _ in range(120)]
+    texts += [changed(texts[k], [15, 75, 145, 215, 285]) for k in range(0, 120, 6)]
+    rows = [(i, " ".join(words)) for i, words in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = defaultdict(list)
+    for r in got(df):
+        found[r.class_id].append(str(r.doc_id))
+    expected = classes(rows)
+    assert sum(len(g) > 1 for g in expected) >= 10
+    assert sorted(sorted(g) for g in found.values()) == expected
+
+
 def test_buckets_of_texts_beyond_a_million_shingles():
     rnd = np.random.RandomState(5)
     a = rnd.randint(1, 1 << 62, (1 << 20) + 300_000, dtype=np.int64).astype(np.uint64)
