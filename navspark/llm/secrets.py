@@ -2,8 +2,9 @@
 
 A worklist of layers starts with the text itself. Every layer is scanned for
 secrets and unwrapped: URL escapes and Unicode escapes over the whole layer,
-each base64 run by itself, and compressed data found in base64. New layers go
-on the list until there are none; a layer with the same content and place as an
+each base64 run by itself, and compressed data found in base64, member after
+member and as often as it is compressed. New layers go on the list until there
+are none; a layer with the same content and place as an
 earlier one is not taken again, which ends cycles. Each character of a layer
 knows which characters of the document it came from, so a secret found in any
 layer is reported by its place in the document.
@@ -14,8 +15,9 @@ more hexadecimal digits). Spans of the text itself (base) are leftmost and do
 not overlap within a kind; spans from deeper layers are added to them.
 
 Defined results: null text is empty and has no spans. Positions are code
-points, ends exclusive. Repeated rows are each scanned. Compressed data that
-unpacks to more than MAX_UNPACKED bytes is not unwrapped further.
+points, ends exclusive. Repeated rows are each scanned. A member of
+compressed data with which it unpacks to more than MAX_UNPACKED bytes is not
+unwrapped, nor is what is behind it.
 """
 
 from __future__ import annotations
@@ -138,27 +140,53 @@ def _unicode(layer: Layer) -> Iterator[Layer]:
         yield _replaced(layer, parts)
 
 
-def _unpacked(raw: bytes) -> bytes | None:
-    """What compressed data holds, or None."""
+def _stream(raw: bytes):
+    """A decompressor for what ``raw`` starts with, or None."""
+    if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] * 256 + raw[1]) % 31 == 0):
+        return zlib.decompressobj(47)
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if raw[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    if raw[:4] == b"\x28\xb5\x2f\xfd":
+        return zstandard.ZstdDecompressor().decompressobj()
+    return None
+
+
+def _member(raw: bytes, most: int) -> tuple[bytes, bytes] | None:
+    """What the first member of compressed data holds, and the data behind it; None if it is damaged or holds more than ``most`` bytes."""
+    stream = _stream(raw)
+    if stream is None:
+        return None
     try:
-        if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] * 256 + raw[1]) % 31 == 0):
-            unpack = zlib.decompressobj(47).decompress
-        elif raw[:3] == b"BZh":
-            unpack = bz2.BZ2Decompressor().decompress
-        elif raw[:6] == b"\xfd7zXZ\x00":
-            unpack = lzma.LZMADecompressor().decompress
-        elif raw[:4] == b"\x28\xb5\x2f\xfd":
-            with zstandard.ZstdDecompressor().stream_reader(raw) as stream:
-                out = stream.read(MAX_UNPACKED + 1)
-            return out if len(out) <= MAX_UNPACKED else None
-        else:
-            return None
-        out = unpack(raw, MAX_UNPACKED + 1)
-        return out if len(out) <= MAX_UNPACKED else None
+        if raw[:4] != b"\x28\xb5\x2f\xfd":
+            out = stream.decompress(raw, most + 1)
+            return (out, stream.unused_data) if len(out) <= most else None
+        parts, size, at = [], 0, 0
+        while at < len(raw) and not stream.eof and size <= most:  # takes no limit: little at a time
+            parts.append(stream.decompress(raw[at : at + 256]))
+            size += len(parts[-1])
+            at += 256
+        return (b"".join(parts), stream.unused_data + raw[at:] if stream.eof else b"") if size <= most else None
     except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
         return None
 
 
+def _unpacked(raw: bytes) -> bytes | None:
+    """What compressed data holds, all members one after the other, unpacked until it is no longer compressed; None if it is not compressed."""
+    seen: set[bytes] = set()
+    last = None
+    while raw not in seen:
+        seen.add(raw)
+        out, rest = b"", raw
+        while (member := _member(rest, MAX_UNPACKED - len(out))) is not None:
+            out, rest = out + member[0], member[1]
+        if rest is raw:
+            return last
+        raw = last = out
+    return last
+
+
 def _base64(layer: Layer) -> Iterator[Layer]:
     text = layer.text
     for m in _RUN.finditer(text):

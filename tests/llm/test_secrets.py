@@ -58,6 +58,18 @@ def test_nested_layers_are_found_in_place():
         assert 13 <= start and end <= len(text) - 9 and end - start >= 0.7 * len(coded)
 
 
+def test_compression_inside_compression_and_many_members():
+    packs = (gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress)
+    raw = b'password = "hunter2hunter2"'
+    packed = [outer(inner(raw)) for outer in packs for inner in packs] + [gzip.compress(bz2.compress(zstandard.compress(raw)))]
+    packed += [pack(b"nothing here ") + pack(b"") + pack(raw) for pack in packs] + [gzip.compress(b"pass") + zstandard.compress(b"word=hunt") + bz2.compress(b"er2hunter2")]
+    packed += [gzip.compress(raw) + b"\x00" * 20, zstandard.compress(raw) + b"x" * 600, gzip.compress(zstandard.compress(b"and ") + gzip.compress(raw))]
+    for data in packed:
+        coded = base64.b64encode(data).decode()
+        base, found = S.secrets(f"words {coded} more")
+        assert base == [] and (6, 0, 6 + len(coded)) in found
+
+
 def test_partly_escaped_text_maps_back():
     assert S.secrets("x pass%77ord%3Dabcdefg.")[1] == [(2, 0, 23)]
     assert S.secrets("%61" * 24)[1] == [(0, 2, 72)]
