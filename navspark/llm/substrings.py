@@ -49,6 +49,8 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNDO = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _LOW = np.uint64(22)  # positions in a run of texts have at most so many bits
 _RUN_BYTES = 1 << 20
+#: A longer text is cut into segments that overlap by a window less one byte, so that its positions fit.
+_SEGMENT = 1 << 21
 
 
 def _table() -> np.ndarray:
@@ -121,6 +123,17 @@ def _bit(name: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     return (name & np.uint64(words - 1)).astype(np.int64), bits
 
 
+def _pieces(offsets: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray, int, int]]:
+    """(first text, offsets in the piece, start of the piece, its start in the first text): every window of every text is in one piece."""
+    for i, j in runs(offsets, _RUN_BYTES):
+        start, end = int(offsets[i]), int(offsets[j])
+        if end - start <= _SEGMENT:
+            yield i, offsets[i : j + 1] - start, start, 0
+        else:  # one long text
+            for k in range(0, end - start - length + 1, _SEGMENT):
+                yield i, np.array([0, min(_SEGMENT + length - 1, end - start - k)]), start + k, k
+
+
 def _rows(docs: DataFrame, length: int, key: int, bloom: np.ndarray | None, only_names: bool) -> DataFrame:
     kind = dict(docs.dtypes)["doc_id"]
     schema = "name long" if only_names else f"doc_id {kind}, th long, name long, u long, a int, lo int, hi int"
@@ -128,9 +141,8 @@ def _rows(docs: DataFrame, length: int, key: int, bloom: np.ndarray | None, only
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            for i, j in runs(offsets, _RUN_BYTES):
-                begin = offsets[i : j + 1] - offsets[i]
-                text, a, lo, hi, name, u = anchors(data[offsets[i] : offsets[j]], begin, length, key)
+            for i, begin, start, shift in _pieces(offsets, length):
+                text, a, lo, hi, name, u = anchors(data[start : start + begin[-1]], begin, length, key)
                 if not len(text):
                     continue
                 if bloom is not None:
@@ -141,7 +153,7 @@ def _rows(docs: DataFrame, length: int, key: int, bloom: np.ndarray | None, only
                     yield pa.RecordBatch.from_arrays([pa.array(name.view(np.int64))], ["name"])
                     continue
                 of = pa.array(text + i)
-                small = [pa.array(x.astype(np.int32)) for x in (a - begin[text], lo, hi)]
+                small = [pa.array(x.astype(np.int32)) for x in (a - begin[text] + shift, lo, hi)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(of), batch.column("th").take(of), pa.array(name.view(np.int64)), pa.array(u.view(np.int64)), *small],
                     ["doc_id", "th", "name", "u", "a", "lo", "hi"],

@@ -49,3 +49,14 @@ def test_odd_rows(odd, nothing):
     some = odd.where("doc_id is null or doc_id != 7")
     assert got(some) == want([(r.doc_id, r.text) for r in some.collect()], 200)
     assert len(got(odd)) == odd.count() and got(nothing) == []
+
+
+def test_repeats_far_inside_a_long_text(spark):
+    rnd = random.Random(7)
+    noise = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz", k=4_700_000))
+    once, twice, border = ("".join(rnd.choices("ABCDEFGH", k=300)) for _ in range(3))
+    at = 2 * S._SEGMENT - 150  # over the border of two segments
+    long = noise[:at] + border + noise[at:4_300_000] + once + noise[4_300_000:4_500_000] + twice + noise[4_500_000:4_600_000] + twice + noise[4_600_000:]
+    rows = [(1, long), (2, "x" + once + "y"), (3, "z" + border + "!")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(df) == [("1", len(long), 4, noise.encode()), ("2", 302, 1, b"xy"), ("3", 302, 1, b"z!")]
