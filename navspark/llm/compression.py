@@ -1,8 +1,9 @@
 """What the two compression classifiers share: samples, window lengths, calibration.
 
-A classifier is fitted on a bounded sample of labelled rows; one half of it
-builds the dictionaries, the other half, scored like any other document,
-calibrates the score.
+A classifier is fitted on a bounded sample of labelled rows: so many rows of
+each class, and of a row of over 16 KB so many windows for the dictionaries. The
+sample is cross-fitted: each half is scored, over its whole texts, with
+dictionaries built from the other half, and these scores calibrate.
 """
 
 from __future__ import annotations
@@ -48,25 +49,52 @@ def sample_text(text: bytes) -> bytes:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, value: str, keep: Column, per_class: int) -> DataFrame:
-    """(text, label, half) of the bounded sample; half 0 is for dictionaries, 1 for calibration."""
+    """(text, label, half) of the bounded sample; each half calibrates what the other one builds."""
     sample = bounded_labels(labels, value, keep, per_class).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)))
     few = F.broadcast(sample.withColumnRenamed("doc_id", "nv_label_id"))  # at most 2 * per_class rows
     return docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("nv_label_id")).select("text", "label", "half")
 
 
-def dictionary_texts(sample: DataFrame) -> tuple[list[bytes], list[bytes]]:
-    """Texts of half 0, by label (0, 1), distinct and in a fixed order."""
+def dictionary_texts(sample: DataFrame) -> list[tuple[bytes, int, int]]:
+    """Distinct (text, label, half) of the sample that are not empty, in a fixed order."""
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             data, offsets = text_bytes(b.column("text"))
             raw = data.tobytes()
             texts = [sample_text(raw[i:j]) for i, j in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), b.column("label")], ["text", "label"])
-
-    rows = sample.where("half = 0").select("text", "label").mapInArrow(short, "text binary, label int").collect()
-    found = {(bytes(r["text"]), r["label"]) for r in rows if r["text"]}
-    return tuple([t for t, k in sorted(found) if k == label] for label in (0, 1))
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), b.column("label"), b.column("half")], ["text", "label", "half"])
+
+    rows = sample.select("text", "label", "half").mapInArrow(short, "text binary, label int, half long").collect()
+    return sorted({(bytes(r["text"]), r["label"], r["half"]) for r in rows if r["text"]})
+
+
+def cross_fit(
+    sample: DataFrame,
+    train: Callable[[list[bytes], list[bytes]], tuple[bytes, bytes]],
+    measure: Callable[[bytes, bytes], Callable[[bytes, np.ndarray], np.ndarray]],
+    names: list[str],
+) -> tuple[Callable[[bytes, np.ndarray], np.ndarray], np.ndarray, np.ndarray] | None:
+    """(what measures a text, its measures of the sample, their labels); None if a class has no text.
+
+    ``train`` makes two dictionaries of the texts of label 0 and of label 1, and
+    ``measure`` a function of texts from these. Each half of the sample is measured
+    by dictionaries built from the other half, so that the measures are those of
+    unseen texts; the result measures by dictionaries of the whole sample. Where a
+    half lacks a class, the whole sample stands for it.
+    """
+    rows = dictionary_texts(sample)
+    whole = [[t for t, k, _ in rows if k == label] for label in (0, 1)]
+    if not all(whole):
+        return None
+    of_texts = measure(*train(*whole))
+    parts = []
+    for half in (0, 1):
+        own = [[t for t, k, h in rows if k == label and h == half] for label in (0, 1)]
+        by_half = measure(*train(*own)) if all(own) else of_texts
+        parts.append(features(sample.where(F.col("half") == 1 - half), by_half, names, ["label"]))
+    seen = parts[0].unionByName(parts[1]).toPandas()
+    return of_texts, seen[names].to_numpy(), seen["label"].to_numpy(float)
 
 
 def features(df: DataFrame, of_texts: Callable[[bytes, np.ndarray], np.ndarray], names: list[str], keep: list[str]) -> DataFrame:
@@ -85,16 +113,19 @@ def features(df: DataFrame, of_texts: Callable[[bytes, np.ndarray], np.ndarray],
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 50) -> np.ndarray:
-    """Weights, the last for the intercept, by Newton steps; balanced only by the sample itself."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
+    """Weights, the last for the intercept, by Newton steps on scaled columns; balanced only by the sample itself."""
+    middle, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    scaled = np.hstack([(x - middle) / scale, np.ones((len(x), 1))])
+    w = np.zeros(scaled.shape[1])
     penalty = ridge * np.eye(len(w))
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + penalty, x.T @ (y - p) - penalty @ w)
+        p = 1 / (1 + np.exp(-np.clip(scaled @ w, -30, 30)))
+        step = np.linalg.solve(scaled.T @ (scaled * (p * (1 - p))[:, None]) + penalty, scaled.T @ (y - p) - penalty @ w)
         w += step
         if np.abs(step).max() < 1e-8:
             break
+    w[:-1] /= scale
+    w[-1] -= w[:-1] @ middle
     return w
 
 

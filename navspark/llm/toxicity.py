@@ -31,14 +31,14 @@ from navspark.llm import compression as C
 from navspark.llm.arrow_text import runs, windows
 
 #: Bound of the labelled sample.
-PER_CLASS = 6000
+PER_CLASS = 3000
 THRESHOLD = 0.3
 WIDTH, STRIDE = 64, 32
 BASE = 32 * 1024
 #: Length of the compared byte grams, and how much more often a typical one occurs in toxic documents.
-GRAM, RATIO = 5, 25
+GRAM, RATIO = 5, 20
 #: It occurs in at least this share of the toxic sample, and in at least so many documents.
-SHARE, LEAST = 0.012, 5
+SHARE, LEAST = 0.008, 5
 ENDING = 8 * 1024
 _FAST = dict(window_log=17, hash_log=17, chain_log=17, min_match=5, search_log=4, strategy=zstandard.STRATEGY_GREEDY)
 _THOROUGH = dict(window_log=17, hash_log=17, chain_log=17, min_match=5, search_log=4, strategy=zstandard.STRATEGY_BTLAZY2)
@@ -98,7 +98,7 @@ def typical(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
     return out
 
 
-def train(toxic: list[bytes], ordinary: list[bytes]) -> tuple[bytes, bytes]:
+def train(ordinary: list[bytes], toxic: list[bytes]) -> tuple[bytes, bytes]:
     """(ordinary, toxic) dictionaries."""
     parts = [t[i : i + C.SAMPLE_WIDTH] for t in ordinary for i in range(0, len(t), C.SAMPLE_WIDTH)]
     try:
@@ -124,24 +124,26 @@ def window_differences(ordinary: bytes, toxic: bytes):
             start, length, owner = start[differ], length[differ], owner[differ]
             gain = np.maximum(C.lengths(thorough[0], data, start, length) - C.lengths(thorough[1], data, start, length), 0)
             np.maximum.at(out[first:last, 0], owner, np.minimum(gain, 8))
+            count = np.maximum(np.expm1(out[first:last, 4]), 1)
             for k, least in ((1, 2), (2, 3), (3, 4)):
-                out[first:last, k] = np.log1p(np.bincount(owner, gain >= least, last - first))
+                found = np.bincount(owner, gain >= least, last - first)
+                out[first:last, k], out[first:last, k + 4] = np.log1p(found), np.sqrt(found / count)
+            out[first:last, 8] = out[first:last, 2] * out[first:last, 4]
         return out
 
     return of_texts
 
 
-NAMES = ["nv_most", "nv_two", "nv_three", "nv_four", "nv_windows"]
+#: The largest gain of a window; numbers of windows that gain 2, 3 and 4 bytes; all windows; shares of the three; a product.
+NAMES = ["nv_most", "nv_two", "nv_three", "nv_four", "nv_windows", "nv_share2", "nv_share3", "nv_share4", "nv_both"]
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, train_on: Column, keep: list[str]) -> DataFrame:
     """``keep`` columns of ``docs`` and score; ``train_on`` says which label rows may be learned from."""
-    sample = C.labelled(docs, labels, "toxic", train_on, PER_CLASS)
-    ordinary, toxic = C.dictionary_texts(sample)
-    if not ordinary or not toxic:
+    fitted = C.cross_fit(C.labelled(docs, labels, "toxic", train_on, PER_CLASS), train, window_differences, NAMES)
+    if fitted is None:
         return docs.select(*keep, F.lit(0.0).alias("score"))
-    of_texts = window_differences(*train(toxic, ordinary))
-    seen = C.features(sample.where("half = 1"), of_texts, NAMES, ["label"]).toPandas()
-    weights = C.fit_logistic(seen[NAMES].to_numpy(), seen["label"].to_numpy(float), ridge=1.0)
-    weights[-1] += C.prior_shift(labels, "toxic", train_on, seen["label"].to_numpy())
+    of_texts, seen, label = fitted
+    weights = C.fit_logistic(seen, label, ridge=1.0)
+    weights[-1] += C.prior_shift(labels, "toxic", train_on, label)
     return C.features(docs, of_texts, NAMES, keep).select(*keep, C.logistic(weights, [F.col(n) for n in NAMES]).alias("score"))
