@@ -27,6 +27,7 @@ import json
 import zlib
 from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -97,7 +98,7 @@ class Encoder:
         raw = data.tobytes()
         start, begins = self._stretches(data, offsets)
         end = np.append(start[1:], len(data))
-        _, first, which = np.unique(_hashes(data, start, end), return_index=True, return_inverse=True)
+        first, which = _distinct(data, start, end)
         place = np.zeros(len(first), np.int64)
         size = np.zeros(len(first), np.int64)
         spare = array("I")  # ids of stretches beyond what the cache may hold
@@ -142,6 +143,22 @@ class Encoder:
         return start, np.searchsorted(start, offsets)
 
 
+def _distinct(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(a stretch of each kind, the kind of every stretch); equal hashes are one kind only where the bytes are equal."""
+    _, first, which = np.unique(_hashes(data, start, end), return_index=True, return_inverse=True)
+    like = first[which]
+    size = end - start
+    same = size == size[like]
+    length = np.where(same, size, 0)
+    inner = np.arange(int(length.sum())) - np.repeat(np.cumsum(length) - length, length)
+    differ = data[inner + np.repeat(start, length)] != data[inner + np.repeat(start[like], length)]
+    if differ.any():
+        same[np.repeat(np.arange(len(start)), length)[differ]] = False
+    lone = np.flatnonzero(~same)
+    which[lone] = len(first) + np.arange(len(lone))
+    return np.append(first, lone), which
+
+
 def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of each stretch of bytes, its length included."""
     with np.errstate(over="ignore"):
@@ -158,14 +175,10 @@ def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return h ^ (h >> np.uint64(29))
 
 
+@lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
-    """The worker's encoder for ``path``; kept on an installed module, so it outlives a task."""
-    import tiktoken
-
-    kept = tiktoken.__dict__.setdefault("_navspark_encoders", {})
-    if path not in kept:
-        kept[path] = Encoder(path)
-    return kept[path]
+    """The worker's encoder for ``path``; it outlives a task."""
+    return Encoder(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:

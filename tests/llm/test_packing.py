@@ -4,6 +4,7 @@ from collections import defaultdict
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from navspark.llm import packing as P
@@ -81,3 +82,22 @@ def test_ids_beyond_the_cache(monkeypatch, reference):
     raw = [t.encode() for t in texts]
     ids, begin = P.Encoder(PATH).ids(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(r) for r in raw])))
     assert [ids[begin[k] : begin[k + 1]].tolist() for k in range(len(texts))] == [e.ids for e in reference.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_equal_hashes_of_different_stretches(monkeypatch):
+    texts = ["one two three", "two one", "", "three  three two", "x" * 50 + " one"]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(t) for t in raw]))
+    enc = P.Encoder(PATH)
+    ids, begin = enc.ids(data, offsets)
+    monkeypatch.setattr(P, "_hashes", lambda data, start, end: np.zeros(len(start), np.uint64))
+    again, begin2 = P.Encoder(PATH).ids(data, offsets)
+    assert (ids == again).all() and (begin == begin2).all()
+
+
+def test_pack_under_binding_limits(spark, documents):
+    """The query's own path, with few documents and little attention allowed in a sequence."""
+    few = documents.where(F.length("text") < 900).limit(120)
+    packed = P.pack(few, PATH, 512, max_documents=2, max_attention=200_000)
+    per = packed.groupBy("sequence_id").agg(F.count("*").alias("n"), F.sum("length").alias("t"), F.sum(F.col("length") ** 2).alias("a")).collect()
+    assert all(r.n <= 2 and r.t <= 512 and r.a <= 200_000 for r in per) and any(r.n == 2 for r in per)
