@@ -5,7 +5,8 @@ deleted. Digests that hold more than ``support`` of all rows are found with the
 Misra-Gries summary behind ``freqItems``, verified with exact counts, and their
 winners (at most ``1 / support``) are broadcast, so rows of large groups are
 settled where they are read. All other digests, whose groups hold at most that
-share of the rows, are settled by one ordinary shuffle.
+share of the rows, are aggregated by an ordinary shuffle, with partial sums
+before it, and joined to their rows.
 
 Defined results: null text counts as empty, and empty texts are equal to each
 other. Of equal texts the row with the most code points in the original text
@@ -15,10 +16,10 @@ that repeat both. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from navspark.llm.common import cut, fresh
+from navspark.llm.common import cut, keep_rows
 
 #: A digest with more than this share of all rows is a heavy one: at most 1,000 of them.
 SUPPORT = 0.001
@@ -52,8 +53,7 @@ def exact_groups(docs: DataFrame, support: float = SUPPORT, id_col: str = "doc_i
     heavy = cut(heavy)  # at most 1 / support rows, used twice
     settled = rows.join(F.broadcast(heavy), "digest")
     rest = rows.join(F.broadcast(heavy.select("digest")), "digest", "left_anti")
-    group = Window.partitionBy("digest")
-    rest = rest.withColumns({"group_size": F.count("*").over(group), "first": F.min(first).over(group)})
+    rest = rest.join(rest.groupBy("digest").agg(F.count("*").alias("group_size"), F.min(first).alias("first")), "digest")
     return settled.select(*rest.columns).unionByName(rest).select(
         "doc_id",
         "digest",
@@ -65,11 +65,6 @@ def exact_groups(docs: DataFrame, support: float = SUPPORT, id_col: str = "doc_i
 
 def drop_exact_copies(docs: DataFrame, support: float = SUPPORT) -> DataFrame:
     """``docs`` with one row of each group of equal texts, columns unchanged."""
-    (digest,) = fresh(docs, "nv_digest")
-    kept = exact_groups(docs, support).where("kept").select(F.col("doc_id").alias("k_id"), F.col("digest").alias("k_digest"))
-    marked = docs.withColumn(digest, text_digest(F.col("text")))
-    return (
-        marked.join(kept, F.col("doc_id").eqNullSafe(F.col("k_id")) & (F.col(digest) == F.col("k_digest")), "left_semi")
-        .dropDuplicates(["doc_id", digest])
-        .drop(digest)
-    )
+    groups = exact_groups(docs, support).groupBy("doc_id", "digest").agg(F.max(F.col("kept").cast("int")).alias("one"), F.count("*").alias("n"))
+    kept = groups.where("one = 1").select("doc_id", F.col("digest").alias("key"), "n")
+    return keep_rows(docs, kept, text_digest(F.col("text")))

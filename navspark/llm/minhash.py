@@ -11,14 +11,16 @@ common subsequence of the labelled shingles.
 
 Texts with the same words are collapsed first. Within a bucket a text is
 compared with a representative, not with every other text: first with the one
-it shares most buckets with. Then, for ROUNDS rounds or until no bucket holds
-texts of several components, one member of each component in a bucket is
-compared with that of one of them, all drawn at random in every bucket and
-round. That settles most buckets at little cost. Those that still hold several
-components are finished exactly: the texts they connect form a cluster, a
-cluster is dealt to blocks, and every pair of blocks is compared in one task,
-all pairs of texts of different components. A pair is passed over only if its
-lengths or the bits of its shingles rule out the threshold.
+it shares most buckets with. Then, in each of ROUNDS rounds, DRAWS members of
+each component in a bucket are compared with members of one of them, all drawn
+at random. That settles most buckets at little cost; those that still hold
+several components are finished exactly. A text can be at the threshold with one
+of another component only if that share of its shingles occurs in other
+components at all; counting that takes one pass over the shingles, and only the
+texts that pass it are compared further: the open buckets that connect them make
+a cluster, a cluster is dealt to blocks, and every pair of blocks is compared in
+one task, all pairs of texts of different components. A pair is passed over only
+if its lengths or the bits of its shingles rule out the threshold.
 
 At similarity 0.8 two texts share each of the 32 buckets with a probability of
 about 0.8 ** 5, so a pair is missed with a probability of 3e-6, and less above.
@@ -43,15 +45,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from navspark.llm.arrow_text import runs, text_bytes
-from navspark.llm.common import cut, keep_rows, stored
+from navspark.llm.common import drop_stored, keep_rows, small, stored
 
 SHINGLE = 5
 THRESHOLD = 0.8
 ORDERS, PARTS, LEAST = 8, 4, 5
 #: How often the components that meet in a bucket are compared there.
-ROUNDS = 4
-#: A block of the exact finish has about so many texts and words at most (but one text at least).
-BLOCK_TEXTS, BLOCK_WORDS = 1024, 500_000
+ROUNDS = 2
+#: How many members of a component are drawn each time.
+DRAWS = 3
+#: A block of the exact finish has about so many texts and compressed bytes at most (but one text at least).
+BLOCK_TEXTS, BLOCK_BYTES = 1024, 1_500_000
 #: Bits that stand for the shingles of a text there, at most.
 MAX_BITS = 1 << 16
 
@@ -224,9 +228,12 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = THRESHOLD) -> float:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """a, b, sim for the pairs (a, b)."""
-    left, right = texts.toDF("b", "zb"), texts.toDF("a", "za")
-    both = pairs.select("a", "b").join(left, "b").join(right, "a")
+    """a, b, sim for the distinct pairs (a, b), as a stored table; only texts of pairs are shuffled."""
+    pairs = stored(pairs.select("a", "b"))
+    n = pairs.count()
+    left = texts.toDF("b", "zb").join(small(pairs, n), "b")
+    right = texts.toDF("a", "za").join(small(pairs.select("a").distinct(), n), "a", "left_semi")
+    both = left.join(right, "a")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdDecompressor()
@@ -240,30 +247,45 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             sims = [similarity(sequence(x), sequence(y)) for x, y in zip(batch.column("za").to_pylist(), batch.column("zb").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sims, pa.float64())], ["a", "b", "sim"])
 
-    return both.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long, sim double")
+    out = stored(both.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long, sim double"))
+    drop_stored(pairs)
+    return out
+
 
+def merge_components(labels: DataFrame, n_labels: int, links: DataFrame) -> DataFrame:
+    """(node, comp), stored, after joining the components at the ends of each link (a, b): larger ones hook to the least neighbour.
 
-def merge_components(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """(node, comp) after joining the components at the ends of each link (a, b): larger ones hook to the least neighbour."""
-    edges = links.select("a", "b").join(labels.toDF("a", "ca"), "a").join(labels.toDF("b", "cb"), "b")
-    edges = cut(edges.select(F.greatest("ca", "cb").alias("x"), F.least("ca", "cb").alias("y")).where("x != y").distinct())
-    while not edges.isEmpty():
-        hook = edges.groupBy("x").agg(F.min("y").alias("p"))
-        jump = hook.join(hook.toDF("p", "q"), "p", "left").select("x", F.coalesce("q", "p").alias("p"))
-        labels = labels.join(jump.toDF("comp", "p"), "comp", "left").select("node", F.coalesce("p", "comp").alias("comp"))
-        moved = edges.join(jump.toDF("x", "px"), "x", "left").join(jump.toDF("y", "py"), "y", "left")
+    ``links`` is read several times. Only the table of hooks meets the labels, and only once a round.
+    """
+    n = links.count()
+    near = labels.toDF("a", "ca").join(small(links.select("a", "b"), n), "a")
+    both = labels.toDF("b", "cb").join(small(near, n), "b")
+    edges = stored(both.select(F.greatest("ca", "cb").alias("x"), F.least("ca", "cb").alias("y")).where("x != y").distinct(), n)
+    kept = []
+    while (n := edges.count()) > 0:
+        hook = stored(edges.groupBy("x").agg(F.min("y").alias("p")), n)
+        jump = stored(hook.join(small(hook.toDF("p", "q"), n), "p", "left").select("x", F.coalesce("q", "p").alias("p")), n)
+        labels = labels.join(small(jump.toDF("comp", "p"), n), "comp", "left").select("node", F.coalesce("p", "comp").alias("comp"))
+        moved = edges.join(small(jump.toDF("x", "px"), n), "x", "left").join(small(jump.toDF("y", "py"), n), "y", "left")
         moved = moved.select(F.coalesce("px", "x").alias("u"), F.coalesce("py", "y").alias("v")).where("u != v")
-        edges = cut(moved.select(F.greatest("u", "v").alias("x"), F.least("u", "v").alias("y")).distinct())
-    return cut(labels)
+        left = stored(moved.select(F.greatest("u", "v").alias("x"), F.least("u", "v").alias("y")).distinct(), n)
+        drop_stored(edges, hook)
+        kept.append(jump)
+        edges = left
+    out = stored(labels, n_labels)
+    drop_stored(edges, *kept)
+    return out
 
 
 def _candidates(live: DataFrame, number: int) -> DataFrame:
-    """(a, b): in each bucket one member of each component against that of one component, all drawn anew by ``number``."""
-    draw = F.xxhash64("node", "bucket", F.lit(number))
-    each = live.groupBy("bucket", "comp").agg(F.min_by("node", draw).alias("node"))
-    head = each.groupBy("bucket").agg(F.min_by("node", draw).alias("o"))
-    pairs = each.join(head, "bucket").where("node != o")
-    return pairs.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct()
+    """(a, b): in each bucket DRAWS members of each component against as many of all, drawn anew by ``number``."""
+    draws = range(number * DRAWS, number * DRAWS + DRAWS)
+    pick = lambda node: [F.min_by(node(k), F.xxhash64(node(k), "bucket", F.lit(k))) for k in draws]
+    each = live.groupBy("bucket", "comp").agg(*[c.alias(f"n{k}") for k, c in zip(draws, pick(lambda _: F.col("node")), strict=True)])
+    head = each.groupBy("bucket").agg(F.count("*").alias("comps"), *[c.alias(f"o{k}") for k, c in zip(draws, pick(lambda k: F.col(f"n{k}")), strict=True)])
+    met = each.join(head.where("comps > 1"), "bucket")
+    rows = met.select(F.explode(F.array(*[F.struct(F.col(f"n{k}").alias("n"), F.col(f"o{k}").alias("o")) for k in draws])).alias("x")).where("x.n != x.o")
+    return rows.select(F.least("x.n", "x.o").alias("a"), F.greatest("x.n", "x.o").alias("b")).distinct()
 
 
 def _bits(sequences: list[np.ndarray]) -> np.ndarray:
@@ -309,32 +331,76 @@ def _block_links(group: pa.Table, threshold: float) -> list[tuple[int, int]]:
     return links
 
 
-def _exact_links(buckets: DataFrame, labels: DataFrame, tested: DataFrame, sizes: DataFrame, texts: DataFrame, threshold: float) -> DataFrame | None:
-    """(a, b) that join all components with a pair at ``threshold`` or above in a bucket; None if no bucket is open."""
-    live = buckets.join(labels, "node")
+def _shingle_rows(texts: DataFrame) -> DataFrame:
+    """(node, comp, n, s): every labelled shingle of the texts (node, comp, z), n of them in a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdDecompressor()
+        for batch in batches:
+            for node, comp, z in zip(*(batch.column(c).to_pylist() for c in ("node", "comp", "z")), strict=True):
+                raw = np.frombuffer(press.decompress(z), np.uint8)
+                s = shingles(*text_words(raw, np.array([0, len(raw)])))[0].view(np.int64)
+                same = [pa.array(np.full(len(s), x)) for x in (node, comp, len(s))]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(s)], ["node", "comp", "n", "s"])
+
+    return texts.select("node", "comp", "z").mapInArrow(run, "node long, comp long, n long, s long")
+
+
+def _linkable(star: DataFrame, labels: DataFrame, n_labels: int, texts: DataFrame, threshold: float) -> DataFrame:
+    """(node, comp, z), stored, of the nodes of ``star`` that may be at ``threshold`` with a text of another component.
+
+    At least the threshold's share of such a text's shingles occur in other
+    components. Texts that share less with all of them together, most of those
+    that merely met in a bucket, leave here.
+    """
+    nodes = star.select(F.col("b").alias("node")).distinct()
+    opened = stored(texts.join(small(nodes, n_labels), "node").join(small(labels, n_labels), "node").select("node", "comp", "z"))
+    rows = _shingle_rows(opened)
+    shared = rows.groupBy("s").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 != c2").select("s")
+    enough = rows.join(shared, "s").groupBy("node", "n").agg(F.count("*").alias("m")).where(F.col("m") >= threshold * F.col("n") - 1e-9)
+    out = stored(opened.join(small(enough.select("node"), n_labels), "node"))
+    drop_stored(opened)
+    return out
+
+
+def _exact_links(buckets: DataFrame, labels: DataFrame, n_labels: int, tested: DataFrame, texts: DataFrame, threshold: float) -> DataFrame | None:
+    """(a, b), stored, that join all components with a pair at ``threshold`` or above in a bucket; None if no bucket is open."""
+    live = buckets.join(small(labels, n_labels), "node")
     mixed = live.groupBy("bucket").agg(
         F.min("comp").alias("c1"), F.max("comp").alias("c2"), F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b")
     )
-    mixed = mixed.where("c1 != c2")
+    mixed = stored(mixed.where("c1 != c2").select("bucket", "n", "a", "b"))
     pairs = mixed.where("n = 2").join(tested.select("a", "b"), ["a", "b"], "left_anti").select("bucket", "a")
     left = mixed.where("n > 2").select("bucket", "a").unionByName(pairs)
-    star = stored(buckets.join(left, "bucket").select("a", F.col("node").alias("b")).distinct())
+    star = stored(buckets.join(small(left, mixed.count()), "bucket").select("a", F.col("node").alias("b")).distinct())
+    drop_stored(mixed)
     if star.isEmpty():
+        drop_stored(star)
         return None
-    nodes = star.select(F.col("b").alias("node")).distinct()
-    clusters = merge_components(nodes.withColumn("comp", F.col("node")), star.where("a != b")).toDF("node", "cluster")
-    placed = stored(clusters.join(sizes, "node").join(labels, "node"))
-    blocks = placed.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("n_words") / BLOCK_WORDS)).cast("int").alias("blocks"))
+    nodes = _linkable(star, labels, n_labels, texts, threshold)
+    # What is left of a bucket is connected through its least node, whether that may link or not.
+    known = star.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    alone = stored(known.withColumn("comp", F.col("node")), n_labels)
+    ends = stored(star.join(small(nodes.select(F.col("node").alias("b")), n_labels), "b", "left_semi").where("a != b"), n_labels)
+    clusters = merge_components(alone, n_labels, ends)
+    sized = nodes.select("node", "comp", F.length("z").alias("n"))
+    placed = stored(sized.join(small(clusters.toDF("node", "cluster"), n_labels), "node"), n_labels)
+    blocks = placed.groupBy("cluster").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("n") / BLOCK_BYTES)).cast("int").alias("blocks"), F.min("comp").alias("c1"), F.max("comp").alias("c2")
+    )
+    blocks = blocks.where("c1 != c2").select("cluster", "blocks")
     own, other = F.pmod(F.xxhash64("node"), "blocks").cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = placed.join(blocks, "cluster").select("cluster", "node", "comp", own.alias("own"), other.alias("other"))
+    dealt = placed.join(small(blocks, n_labels), "cluster").select("cluster", "node", own.alias("own"), other.alias("other"))
     dealt = dealt.withColumns({"i": F.least("own", "other"), "j": F.greatest("own", "other"), "second": F.col("own") > F.col("other")})
 
     def run(group: pa.Table) -> pa.Table:
         links = _block_links(group, threshold)
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
-    both = dealt.join(texts, "node").select("cluster", "i", "j", "node", "comp", "second", "z")
-    return cut(both.groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long"))
+    both = dealt.join(nodes, "node").select("cluster", "i", "j", "node", "comp", "second", "z")
+    out = stored(both.groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long"))
+    drop_stored(star, alone, ends, clusters, placed, nodes)
+    return out
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -342,39 +408,47 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     ``first`` marks one row of each class: that of the smallest doc_id.
     """
-    rows = cut(signatures(docs))
+    rows = stored(signatures(docs))
     words = F.col("n_words") > 0
     same = rows.where(words).groupBy("k1", "k2").agg(F.min("rid").alias("node"))
     members = rows.where(words).select("doc_id", "rid", "th", "k1", "k2").join(same, ["k1", "k2"])
-    members = cut(members.unionByName(rows.where(~words).select("k1", "k2", "doc_id", "rid", "th", F.col("rid").alias("node"))))
-    nodes = rows.where(words).join(same.select(F.col("node").alias("rid")), "rid", "left_semi")
-    buckets = nodes.select(F.col("rid").alias("node"), F.explode(F.array_remove("buckets", 0)).alias("bucket"))
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
-    buckets = stored(buckets.join(shared, "bucket"))
-    labels = cut(buckets.select("node").distinct().withColumn("comp", F.col("node")))
-    wanted = members.where("rid = node").select("k1", "k2", "node").join(labels.select("node"), "node", "left_semi")
-    texts = stored(_texts(docs).join(wanted, ["k1", "k2"]).groupBy("node").agg(F.first("z").alias("z")))
-
+    members = stored(members.unionByName(rows.where(~words).select("k1", "k2", "doc_id", "rid", "th", F.col("rid").alias("node"))))
+    firsts = members.where("rid = node").select("rid")
+    nodes = rows.where(words).join(firsts, "rid", "left_semi")
+    every = nodes.select(F.col("rid").alias("node"), F.explode(F.array_remove("buckets", 0)).alias("bucket"))
+    shared = every.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("a")).where("n > 1").select("bucket", "a")
+    met = stored(every.join(shared, "bucket"))
+    buckets = met.select("node", "bucket")
+    n = buckets.select("node").distinct().count()
+    labels = stored(buckets.select("node").distinct().withColumn("comp", F.col("node")), n)
+    wanted = members.where("rid = node").select("k1", "k2", "node").join(small(labels.select("node"), n), "node", "left_semi")
+    texts = stored(_texts(docs).join(small(wanted, n), ["k1", "k2"]).groupBy("node").agg(F.first("z").alias("z")))
+
+    drop_stored(rows)
     # The first candidate of a text is the one it shares most buckets with; that settles most texts.
-    least = buckets.groupBy("bucket").agg(F.min("node").alias("a"))
-    pairs = buckets.join(least, "bucket").where("node != a").groupBy("node", "a").agg(F.count("*").alias("n"))
+    pairs = met.where("node != a").groupBy("node", "a").agg(F.count("*").alias("n"))
     best = pairs.groupBy("node").agg(F.max(F.struct("n", (-F.col("a")).alias("m"))).alias("best"))
-    tested = cut(_verified(best.select((-F.col("best.m")).alias("a"), F.col("node").alias("b")), texts))
-    labels = merge_components(labels, tested.where(F.col("sim") >= threshold))
+    tested = _verified(best.select((-F.col("best.m")).alias("a"), F.col("node").alias("b")), texts)
+    links = tested.where(F.col("sim") >= threshold)
+    first, labels = labels, merge_components(labels, n, links)
+    drop_stored(first)
     for number in range(ROUNDS):
-        live = buckets.join(labels, "node")
-        mixed = live.groupBy("bucket").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 != c2").select("bucket")
-        live = live.join(mixed, "bucket")
-        found = cut(_verified(_candidates(live, number).join(tested, ["a", "b"], "left_anti"), texts))
-        if found.isEmpty():
-            break
-        labels = merge_components(labels, found.where(F.col("sim") >= threshold))
-        tested = cut(tested.unionByName(found))
-    sizes = nodes.select(F.col("rid").alias("node"), "n_words")
-    links = _exact_links(buckets, labels, tested, sizes, texts, threshold)
+        live = buckets.join(small(labels, n), "node")
+        known = tested.count()
+        found = _verified(_candidates(live, number).join(small(tested.select("a", "b"), known), ["a", "b"], "left_anti"), texts)
+        more = found.count()
+        links = stored(found.where(F.col("sim") >= threshold), more)
+        old = [labels, tested, found, links]
+        tested = stored(tested.unionByName(found), known + more)
+        labels = merge_components(labels, n, links)
+        drop_stored(*old)
+    links = _exact_links(buckets, labels, n, tested, texts, threshold)
+    drop_stored(met, tested, texts)
     if links is not None:
-        labels = merge_components(labels, links)
-    whole = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        old = [labels, links]
+        labels = merge_components(labels, n, links)
+        drop_stored(*old)
+    whole = members.join(small(labels, n), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     order = F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("id"), F.col("rid").alias("rid"))
     named = whole.groupBy("comp").agg(F.min(order).alias("head"), F.count("*").alias("class_size"))
     return whole.join(named, "comp").select(
@@ -384,5 +458,5 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with one document of each class, columns unchanged."""
-    kept = near_duplicates(docs, threshold).where("first").select("doc_id", "th")
-    return keep_rows(docs, kept)
+    found = near_duplicates(docs, threshold).groupBy("doc_id", "th").agg(F.max(F.col("first").cast("int")).alias("one"), F.count("*").alias("n"))
+    return keep_rows(docs, found.where("one = 1").select("doc_id", F.col("th").alias("key"), "n"), F.xxhash64("text"))

@@ -48,7 +48,12 @@ def test_cases(spark, odd, nothing):
 
 
 def test_shuffled_join_gives_the_same(spark, documents, sf, monkeypatch):
-    bench = spark.read.parquet(f"{sf}/benchmark.parquet")
-    broadcast = got(documents, bench)
+    bench = spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text")
+    long = " ".join(r.text for r in bench.orderBy("item_id").limit(3).collect()) + " and" + " other words, often the same" * 5000
+    extra = spark.createDataFrame([(-1, long), (-2, "nine ten"), (-3, None), (-3, "")], "doc_id long, text string")
+    docs = documents.select("doc_id", "text").unionByName(extra)
+    items = bench.unionByName(spark.createDataFrame([(-7, "nine ten"), (-8, "other words often the same other words")], "item_id long, text string"))
+    broadcast = got(docs, items)
+    assert {r[0] for r in broadcast if r[2]} >= {"-1", "-2"}
     monkeypatch.setattr(D, "BROADCAST_WINDOWS", 0)
-    assert got(documents, bench) == broadcast
+    assert got(docs, items) == broadcast
