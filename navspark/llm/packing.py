@@ -42,7 +42,7 @@ CAPACITY = 2048
 GROUP = 8192
 #: Distinct stretches that a worker remembers.
 CACHE = 250_000
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
 
 # Fixed value: how the byte-level BPE of this vocabulary splits text into words.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
