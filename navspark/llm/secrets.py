@@ -1,13 +1,16 @@
 """Secret scan through nested encodings.
 
 A worklist of layers starts with the text itself. Every layer is scanned for
-secrets and unwrapped: URL escapes and Unicode escapes over the whole layer,
-each base64 run by itself, and compressed data found in base64, member after
-member and as often as it is compressed. New layers go on the list until there
-are none; a layer with the same content and place as an
-earlier one is not taken again, which ends cycles. Each character of a layer
-knows which characters of the document it came from, so a secret found in any
-layer is reported by its place in the document.
+secrets and unwrapped: URL escapes and Unicode escapes over the whole layer, and
+base64 runs, also those glued to other text of the same letters (all four
+alignments are read) or broken over lines. Base64 and runs of URL or ``\\x``
+escapes give bytes: compressed data in them is unpacked, member after member and
+as often as it is compressed, and the bytes are read as UTF-16, UTF-8 or, if
+they are neither, Latin-1. New layers go on the list until there are none; a
+layer with the same content and place as an earlier one is not taken again,
+which ends cycles. Each character of a layer knows which characters of the
+document it came from, so a secret found in any layer is reported by its place
+in the document.
 
 Kinds: ``assign`` (a password-like name, a separator and a value of at least 6
 characters), ``access`` (AKIA and 16 or more capitals or digits), ``hex`` (24 or
@@ -15,14 +18,15 @@ more hexadecimal digits). Spans of the text itself (base) are leftmost and do
 not overlap within a kind; spans from deeper layers are added to them.
 
 Defined results: null text is empty and has no spans. Positions are code
-points, ends exclusive. Repeated rows are each scanned. A member of
-compressed data with which it unpacks to more than MAX_UNPACKED bytes is not
-unwrapped, nor is what is behind it.
+points, ends exclusive. Repeated rows are each scanned. Unpacked data is worked
+on in chunks of CHUNK bytes that overlap by OVERLAP, however large it is: only
+what spans more than the overlap at a chunk's edge is seen in two parts. Of
+damaged data, what comes before the damage is read. A secret in unpacked data
+has the place of the whole encoded run.
 """
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import lzma
@@ -40,7 +44,8 @@ from navspark.llm.arrow_text import text_bytes
 KINDS = ("assign", "access", "hex")
 #: A base64 run has at least so many characters: the shortest secret with its name needs 16.
 SHORTEST_RUN = 16
-MAX_UNPACKED = 32 << 20
+CHUNK, OVERLAP = 4 << 20, 256 << 10
+_PIECE = 1 << 20
 
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
@@ -50,18 +55,34 @@ _URL = re.compile(r"(?:%(?:25)*[0-9A-Fa-f]{2})+")
 _URL_ONE = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})")
 _UNICODE = re.compile(r"\\u([0-9A-Fa-f]{4})|\\u\{([0-9A-Fa-f]{1,6})\}|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{%d,}={0,2}" % SHORTEST_RUN)
-_UNREADABLE = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]")
+_WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{4,}+(?:\r?\n[ \t]{0,8}[A-Za-z0-9+/_-]++)++={0,2}")
+_LETTER64 = re.compile(r"[A-Za-z0-9+/_-]")
+_GLUE = re.compile(r"[-_/+]")
+_URL_BYTES = re.compile(r"[A-Za-z0-9_.~/+-]*+(?:%[0-9A-Fa-f]{2}[A-Za-z0-9_.~/+-]*+)+")
+_URL_TOKEN = re.compile(r"%([0-9A-Fa-f]{2})|.", re.S)
+_X_BYTES = re.compile(r"[ -\[\]-~]*+(?:\\(?:x[0-9A-Fa-f]{2}|[nrt\\'\"0abfv])[ -\[\]-~]*+)+")
+_X_TOKEN = re.compile(r"\\x([0-9A-Fa-f]{2})|\\(.)|.", re.S)
+_X_SHORT = {"n": 10, "r": 13, "t": 9, "0": 0, "a": 7, "b": 8, "f": 12, "v": 11}
+#: Starts of compressed data; two bytes are too few to be looked for everywhere in base64.
+_MAGIC = rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|BZh[1-9]\x17rE8P\x90|\xfd7zXZ\x00|\x28\xb5\x2f\xfd"
+_PACKED = re.compile(_MAGIC)
+_PACKED_OR_ZLIB = re.compile(_MAGIC + rb"|\x78[\x01\x5e\x9c\xda]")
+#: A secret, or an encoded one, has a stretch of so many printable characters.
+_STRETCH = re.compile(rb"[\x20-\x7e]{12}")
+_UTF16 = (("utf-16-le", re.compile(rb"(?:[\x20-\x7e]\x00){8}")), ("utf-16-be", re.compile(rb"(?:\x00[\x20-\x7e]){8}")))
 
 
 class Layer:
-    """A text and, for each of its characters, the first and last (exclusive) character of the document behind it."""
+    """A text or bytes and, for each of its items, the first and last (exclusive) character of the document behind it, or one such range for all."""
 
-    __slots__ = ("text", "first", "last")
+    __slots__ = ("text", "first", "last", "whole")
 
-    def __init__(self, text: str, first: np.ndarray | None = None, last: np.ndarray | None = None):
-        self.text, self.first, self.last = text, first, last
+    def __init__(self, text: str | bytes, first: np.ndarray | None = None, last: np.ndarray | None = None, whole: tuple[int, int] | None = None):
+        self.text, self.first, self.last, self.whole = text, first, last, whole
 
     def span(self, start: int, end: int) -> tuple[int, int]:
+        if self.whole is not None:
+            return self.whole
         if self.first is None:
             return start, end
         return int(self.first[start:end].min()), int(self.last[start:end].max())
@@ -72,6 +93,13 @@ class Layer:
             return at, at + 1
         return self.first, self.last
 
+    def made(self, text: str | bytes, begin: np.ndarray, end: np.ndarray) -> Layer:
+        """A layer whose items stand for this one's items ``begin`` to ``end`` (inclusive)."""
+        if self.whole is not None:
+            return Layer(text, whole=self.whole)
+        first, last = self.places()
+        return Layer(text, first[begin], last[end])
+
 
 def scan(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the secrets of one layer, in order."""
@@ -87,6 +115,10 @@ def scan(text: str) -> list[tuple[int, int, int]]:
 
 def _replaced(layer: Layer, parts: list[tuple[int, int, str, list[tuple[int, int]]]]) -> Layer:
     """``layer`` with each part (start, end, new text, range behind each new character) put in."""
+    if layer.whole is not None:
+        ends = [0, *(x for start, end, *_ in parts for x in (start, end)), len(layer.text)]
+        kept = [layer.text[i:j] for i, j in zip(ends[::2], ends[1::2], strict=True)]
+        return Layer("".join(x for pair in zip(kept, [p[2] for p in parts] + [""], strict=True) for x in pair), whole=layer.whole)
     first, last = layer.places()
     text, a, b, at = [], [], [], 0
     for start, end, new, behind in parts:
@@ -140,86 +172,136 @@ def _unicode(layer: Layer) -> Iterator[Layer]:
         yield _replaced(layer, parts)
 
 
-def _stream(raw: bytes):
-    """A decompressor for what ``raw`` starts with, or None."""
-    if raw[:2] == b"\x1f\x8b" or (raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] * 256 + raw[1]) % 31 == 0):
-        return zlib.decompressobj(47)
-    if raw[:3] == b"BZh":
-        return bz2.BZ2Decompressor()
-    if raw[:6] == b"\xfd7zXZ\x00":
-        return lzma.LZMADecompressor()
-    if raw[:4] == b"\x28\xb5\x2f\xfd":
-        return zstandard.ZstdDecompressor().decompressobj()
-    return None
+def _escaped(layer: Layer) -> Iterator[Layer]:
+    """The bytes of runs of URL escapes, and of \\x escapes, with the plain characters among them."""
+    text = layer.text
+    for there, run, token in (("%", _URL_BYTES, _URL_TOKEN), ("\\x", _X_BYTES, _X_TOKEN)):
+        if there not in text:
+            continue
+        for m in run.finditer(text):
+            tokens = list(token.finditer(m[0]))
+            size = next(k for k in range(len(tokens), 0, -1) if len(tokens[k - 1][0]) > 1)  # up to the last escape, and the word it stands in
+            tokens = tokens[: next((k for k in range(size, len(tokens)) if tokens[k][0] == " "), len(tokens))]
+            raw = bytes(int(t[1], 16) if t[1] else _X_SHORT.get(t[2], ord(t[2])) if t.re.groups > 1 and t[2] else ord(t[0]) for t in tokens)
+            if _PACKED_OR_ZLIB.search(raw) or any(x.search(raw) for _, x in _UTF16):
+                begin = m.start() + np.array([t.start() for t in tokens])
+                yield layer.made(raw, begin, m.start() + np.array([t.end() for t in tokens]) - 1)
 
 
-def _member(raw: bytes, most: int) -> tuple[bytes, bytes] | None:
-    """What the first member of compressed data holds, and the data behind it; None if it is damaged or holds more than ``most`` bytes."""
-    stream = _stream(raw)
-    if stream is None:
-        return None
-    try:
-        if raw[:4] != b"\x28\xb5\x2f\xfd":
-            out = stream.decompress(raw, most + 1)
-            return (out, stream.unused_data) if len(out) <= most else None
-        parts, size, at = [], 0, 0
-        while at < len(raw) and not stream.eof and size <= most:  # takes no limit: little at a time
-            parts.append(stream.decompress(raw[at : at + 256]))
-            size += len(parts[-1])
-            at += 256
-        return (b"".join(parts), stream.unused_data + raw[at:] if stream.eof else b"") if size <= most else None
-    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
-        return None
+def _base64(layer: Layer) -> Iterator[Layer]:
+    """The bytes of base64 runs that are worth a look, in each alignment and from each place where something may be glued on."""
+    for m in _RUN.finditer(layer.text):
+        yield from _decoded(layer, m[0].rstrip("="), None, m.start(), len(m[0]))
+    if "\n" in layer.text:
+        for m in _WRAPPED.finditer(layer.text):
+            at = np.array([x.start() for x in _LETTER64.finditer(m[0])])
+            if len(at) >= SHORTEST_RUN:
+                yield from _decoded(layer, "".join(_LETTER64.findall(m[0])), m.start() + at, 0, len(at))
 
 
-def _unpacked(raw: bytes) -> bytes | None:
-    """What compressed data holds, all members one after the other, unpacked until it is no longer compressed; None if it is not compressed."""
-    seen: set[bytes] = set()
-    last = None
-    while raw not in seen:
-        seen.add(raw)
-        out, rest = b"", raw
-        while (member := _member(rest, MAX_UNPACKED - len(out))) is not None:
-            out, rest = out + member[0], member[1]
-        if rest is raw:
-            return last
-        raw = last = out
-    return last
+def _decoded(layer: Layer, body: str, at: np.ndarray | None, start: int, size: int) -> Iterator[Layer]:
+    """``size`` counts the padding behind ``body`` too."""
+    plain = body.translate(_URLSAFE)
+    for shift in range(4):
+        raw = _bytes64(plain, shift)
+        if _STRETCH.search(raw) or _PACKED.search(raw) or (shift == 0 and _is_packed(raw)) or any(x.search(raw) for _, x in _UTF16):
+            yield _placed(layer, raw, size, at, start, shift)
+    for m in _GLUE.finditer(body):
+        if m.end() + 8 <= len(body) and _is_packed(_bytes64(plain[m.end() : m.end() + 8], 0)):
+            yield _placed(layer, _bytes64(plain, m.end()), size, at, start, m.end())
 
 
-def _base64(layer: Layer) -> Iterator[Layer]:
-    text = layer.text
-    for m in _RUN.finditer(text):
-        body = m[0].rstrip("=")
-        if len(body) % 4 == 1:
-            body = body[:-1]
-        try:
-            raw = base64.b64decode(body.translate(_URLSAFE) + "=" * (-len(body) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        packed = _unpacked(raw)
-        if packed is None:
-            if not raw or raw[0] < 9 or not _readable(raw):
-                continue
-            begin, end = m.start(), m.start() + len(body)
-            made = _characters(raw, [(begin + 4 * (k // 3), min(begin + 4 * (k // 3) + 4, end)) for k in range(len(raw))])
-        else:
-            made = _characters(packed, [(m.start(), m.end())] * len(packed)) if _readable(packed) else None
-        if made is None:
-            continue
-        first, last = layer.places()
-        starts = np.array([first[i:j].min() for i, j in made[1]], np.int64)
-        yield Layer(made[0], starts, np.array([last[i:j].max() for i, j in made[1]], np.int64))
+def _bytes64(plain: str, shift: int) -> bytes:
+    n = len(plain) - shift
+    n -= n % 4 == 1
+    return binascii.a2b_base64(plain[shift : shift + n] + "=" * (-n % 4)) if n > 0 else b""
+
+
+def _placed(layer: Layer, raw: bytes, size: int, at: np.ndarray | None, start: int, shift: int) -> Layer:
+    begin = shift + 4 * (np.arange(len(raw)) // 3)
+    end = np.minimum(begin + 3, size - 1)
+    return layer.made(raw, begin + start, end + start) if at is None else layer.made(raw, at[begin], at[end])
 
 
 _URLSAFE = str.maketrans("-_", "+/")
 
 
-def _readable(raw: bytes) -> bool:
+def _is_packed(raw: bytes) -> bool:
+    return _PACKED.match(raw) is not None or (raw[:1] == b"\x78" and len(raw) > 1 and (raw[0] * 256 + raw[1]) % 31 == 0)
+
+
+def _unpacked(raw: bytes) -> Iterator[bytes]:
+    """What the members of compressed data hold, one after the other, in pieces of bounded size."""
+    try:
+        while _is_packed(raw):
+            if raw[:1] == b"\x1f" or raw[:1] == b"\x78":
+                stream = zlib.decompressobj(47)
+                while not stream.eof and raw:
+                    yield stream.decompress(raw, _PIECE)
+                    raw = stream.unconsumed_tail
+                if not stream.eof:
+                    yield stream.flush()
+                    return
+                raw = stream.unused_data
+            elif raw[:4] == b"\x28\xb5\x2f\xfd":
+                stream, at = zstandard.ZstdDecompressor().decompressobj(), 0
+                while not stream.eof and at < len(raw):  # takes no limit: little at a time
+                    yield stream.decompress(raw[at : at + 256])
+                    at += 256
+                raw = stream.unused_data + raw[at:]
+            else:
+                stream = bz2.BZ2Decompressor() if raw[:3] == b"BZh" else lzma.LZMADecompressor()
+                while not stream.eof:
+                    yield stream.decompress(raw, _PIECE)
+                    raw = b""
+                    if stream.needs_input and not stream.eof:
+                        return
+                raw = stream.unused_data
+    except (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError):
+        return
+
+
+def _chunks(raw: bytes) -> Iterator[bytes]:
+    """The same in chunks of about CHUNK bytes, each but the first led by the end of the one before."""
+    held, size = b"", 0
+    for piece in _unpacked(raw):
+        held += piece
+        size += len(piece)
+        if size >= CHUNK:
+            yield held
+            held, size = held[-OVERLAP:], 0
+    if size:
+        yield held
+
+
+def _from_bytes(layer: Layer) -> Iterator[Layer]:
+    """Layers of bytes: compressed data in them unpacked, and the texts they may be."""
+    raw = layer.text
+    glued = _PACKED if layer.whole is not None else _PACKED_OR_ZLIB
+    for at in sorted({m.start() for m in glued.finditer(raw)} | ({0} if _is_packed(raw) else set())):
+        span = layer.span(at, len(raw))
+        for chunk in _chunks(raw[at:]):
+            yield Layer(chunk, whole=span)
+    wide = False
+    for name, pattern in _UTF16:
+        m = pattern.search(raw)
+        if m is not None:
+            wide = True
+            skip = m.start() % 2
+            text = raw[skip : len(raw) - (len(raw) - skip) % 2].decode(name, "replace")
+            sizes = np.fromiter((4 if c > "\uffff" else 2 for c in text), np.int64, len(text))
+            end = np.minimum(skip + np.cumsum(sizes), len(raw))
+            yield layer.made(text, np.minimum(end - sizes, len(raw) - 1), end - 1)
+    if wide or not _STRETCH.search(raw):
+        return
     try:
-        return _UNREADABLE.search(raw.decode("utf-8")) is None
+        text = raw.decode("utf-8")
     except UnicodeDecodeError:
-        return False
+        at = np.arange(len(raw))
+        yield layer.made(raw.decode("latin-1"), at, at)
+        return
+    begin = np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
+    yield layer.made(text, begin, np.append(begin[1:], len(raw)) - 1)
 
 
 def secrets(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
@@ -230,7 +312,7 @@ def secrets(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int,
     work = [Layer(text)]
     while work:
         layer = work.pop()
-        for unwrap in (_url, _unicode, _base64):
+        for unwrap in (_from_bytes,) if isinstance(layer.text, bytes) else (_url, _unicode, _escaped, _base64):
             for inner in unwrap(layer):
                 if not inner.text:
                     continue
@@ -238,7 +320,8 @@ def secrets(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int,
                 if key in seen:
                     continue
                 seen.add(key)
-                found.update((s, kind, e) for start, kind, end in scan(inner.text) for s, e in [inner.span(start, end)])
+                if isinstance(inner.text, str):
+                    found.update((s, kind, e) for start, kind, end in scan(inner.text) for s, e in [inner.span(start, end)])
                 work.append(inner)
     return base, sorted(found)
 

@@ -70,6 +70,54 @@ def test_compression_inside_compression_and_many_members():
         assert base == [] and (6, 0, 6 + len(coded)) in found
 
 
+def test_bytes_behind_escapes_and_odd_base64():
+    secret = 'password = "hunter2hunter2"'
+    raw = secret.encode()
+    b64 = lambda x: base64.b64encode(x).decode()
+    lines = base64.encodebytes(b"some words before it, then " + raw + b" and some words after it, to fill the lines").decode().strip()
+    packed = gzip.compress(raw)
+    cases = [
+        urllib.parse.quote(packed), "".join(f"%{b:02x}" for b in packed), urllib.parse.quote(zlib.compress(raw)),
+        "".join(f"\\x{b:02x}" for b in packed), repr(packed)[2:-1], repr(zlib.compress(raw))[2:-1],
+        b64("café ".encode("latin-1") + raw), b64(secret.encode("utf-16")), b64(secret.encode("utf-16-be")), b64(secret.encode("utf-16-le")),
+        b64(b"\x01" + raw), b64(raw + b"\x00"), lines, lines.replace("\n", "\r\n  "), base64.encodebytes(gzip.compress(raw * 9)).decode().strip(),
+        *(f"{'blob/x-y_z'[:k]}/{b64(raw)}" for k in range(1, 10)), f"https://x.io/{b64(packed)}", f"id-{b64(zlib.compress(raw))}", f"id_{b64(raw)}",
+        "".join(f"%{b:02x}" for b in secret.encode("utf-16-le")), "".join(f"\\x{b:02x}" for b in secret.encode("utf-16-be")),
+    ]
+    for coded in cases:
+        text = f"é some words {coded} and more"
+        base, found = S.secrets(text)
+        assert base == [] and any(k == 0 and 13 <= i < j <= len(text) - 9 for i, k, j in found), coded
+
+
+def test_random_chains_of_layers():
+    """Whatever is wrapped, and however often, comes out."""
+    rnd = random.Random(6)
+    to_text = [
+        lambda x: base64.b64encode(x).decode(), lambda x: base64.urlsafe_b64encode(x).decode(), lambda x: base64.encodebytes(x).decode().strip(),
+        lambda x: "".join(f"%{b:02X}" for b in x), lambda x: "".join(f"\\x{b:02x}" for b in x), lambda x: "blob/" + base64.b64encode(x).decode(),
+    ]
+    to_bytes = [gzip.compress, zlib.compress, bz2.compress, lzma.compress, zstandard.compress, lambda x: x]
+    for _ in range(300):
+        data, names = b'token: "abcdef123456"', []
+        for _ in range(rnd.randrange(1, 4)):
+            i, j = rnd.randrange(6), rnd.randrange(6)
+            data = to_text[j](to_bytes[i](data)).encode()
+            names.append((i, j))
+        text = f"x {data.decode()} y"
+        base, found = S.secrets(text)
+        assert any(kind == 0 for _, kind, _ in found), names
+
+
+def test_large_unpacked_data_in_bounded_memory():
+    filler = b"nothing to see here, " * (1 << 20)
+    for tail in (b'password = "hunter2hunter2"', gzip.compress(b'password = "hunter2hunter2"')):
+        coded = base64.b64encode(gzip.compress(filler[: S.CHUNK * 2 - 13] + tail)).decode()
+        assert any(k == 0 for _, k, _ in S.secrets(f"words {coded} more")[1])
+    damaged = base64.b64encode(gzip.compress(b'password = "hunter2hunter2"' + filler[:100_000])[:-40]).decode()
+    assert any(k == 0 for _, k, _ in S.secrets(damaged)[1])
+
+
 def test_partly_escaped_text_maps_back():
     assert S.secrets("x pass%77ord%3Dabcdefg.")[1] == [(2, 0, 23)]
     assert S.secrets("%61" * 24)[1] == [(0, 2, 72)]
