@@ -7,7 +7,8 @@ gram hashes with the log probabilities of all languages beside it, so a
 character costs one binary search however many languages there are. A text gets
 the language with the lowest cross-entropy per character. A text is flagged as
 rejected if that cross-entropy is above what all but REJECT of its language's
-training texts have.
+texts have in a share of the training texts, under models of the other training
+texts; the models that judge are those of all.
 
 A gram packs four 16-bit characters into 64 bits (characters beyond the basic
 plane are hashed into 16 bits). The models hold one row for each distinct
@@ -34,10 +35,10 @@ from navspark.llm.common import cut
 
 ORDER = 4
 MAX_GRAMS = 8_000_000
-#: Share of training texts of a language that lie beyond the rejection threshold.
+#: Share of unseen texts of a language that lie beyond the rejection threshold.
 REJECT = 0.001
-#: Texts of the bounded sample that the thresholds are taken from.
-SAMPLE = 4000
+#: One training text in so many is unseen by the models that the thresholds are taken from.
+UNSEEN = 20
 #: Characters that are worked on together.
 RUN_CHARS = 1 << 20
 #: Cross-entropies of languages are compared on this scale (nats per character, times SHARPNESS).
@@ -76,30 +77,32 @@ def _text_runs(texts: list[str]) -> Iterator[tuple[int, int]]:
 
 
 def gram_counts(train: DataFrame) -> DataFrame:
-    """lang, gram, n over all rows of ``train`` (text, lang)."""
+    """lang, gram, n, n_unseen over all rows of ``train`` (text, lang, unseen): all occurrences, and those in unseen texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        total: dict[tuple[str, bool], tuple[np.ndarray, np.ndarray]] = {}
         for batch in batches:
-            by: dict[str, list[str]] = {}
-            for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist(), strict=True):
-                by.setdefault(lang, []).append(text)
-            for lang, texts in by.items():
+            by: dict[tuple[str, bool], list[str]] = {}
+            for text, lang, unseen in zip(*(batch.column(c).to_pylist() for c in ("text", "lang", "unseen")), strict=True):
+                by.setdefault((lang, unseen), []).append(text)
+            for key, texts in by.items():
                 for first, last in _text_runs(texts):
                     code, offsets = _codes(texts[first:last])
                     lead = np.zeros(len(code), bool)
                     for i in range(ORDER - 1):
                         lead[offsets[:-1] + i] = True
                     grams, n = np.unique(_grams(code, ORDER)[~lead[ORDER - 1 :]], return_counts=True)
-                    if lang in total:
-                        keys, where = np.unique(np.concatenate([total[lang][0], grams]), return_inverse=True)
-                        grams, n = keys, np.bincount(where, np.concatenate([total[lang][1], n])).astype(np.int64)
-                    total[lang] = (grams, n)
-        for lang, (grams, n) in total.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams)), pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
+                    if key in total:
+                        keys, where = np.unique(np.concatenate([total[key][0], grams]), return_inverse=True)
+                        grams, n = keys, np.bincount(where, np.concatenate([total[key][1], n])).astype(np.int64)
+                    total[key] = (grams, n)
+        for (lang, unseen), (grams, n) in total.items():
+            n = n.astype(np.int64)
+            columns = [pa.array([lang] * len(grams)), pa.array(grams.view(np.int64)), pa.array(n), pa.array(n * unseen)]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "gram", "n", "n_unseen"])
 
-    partial = train.select("text", "lang").mapInArrow(count, "lang string, gram long, n long")
-    return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    partial = train.select("text", "lang", "unseen").mapInArrow(count, "lang string, gram long, n long, n_unseen long")
+    return partial.groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("n_unseen").alias("n_unseen"))
 
 
 def _locate(keys: np.ndarray, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -208,8 +211,8 @@ def build(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -
     return Models(langs, keys, logs, contexts, backoff)
 
 
-def train_models(train: DataFrame) -> Models | None:
-    """Models from all rows of ``train`` (text, lang; no nulls)."""
+def train_models(train: DataFrame) -> tuple[Models, Models | None] | None:
+    """Models of all rows of ``train`` (text, lang, unseen; no nulls), and those of its rows that are not unseen."""
     counts = cut(gram_counts(train))
     if counts.count() > MAX_GRAMS:
         raise ValueError(f"more than {MAX_GRAMS} distinct {ORDER}-grams: raise MAX_GRAMS")
@@ -218,7 +221,11 @@ def train_models(train: DataFrame) -> Models | None:
         return None
     langs = sorted(table["lang"].unique())
     number = {x: i for i, x in enumerate(langs)}
-    return build(langs, table["lang"].map(number).to_numpy(), table["gram"].to_numpy(np.int64).view(np.uint64), table["n"].to_numpy())
+    lang, gram = table["lang"].map(number).to_numpy(), table["gram"].to_numpy(np.int64).view(np.uint64)
+    n, unseen = table["n"].to_numpy(), table["n_unseen"].to_numpy()
+    known = n > unseen
+    part = build(langs, lang[known], gram[known], (n - unseen)[known]) if known.any() else None
+    return build(langs, lang, gram, n), part
 
 
 def _judge(df: DataFrame, models: Models, keep: list[str]) -> DataFrame:
@@ -243,14 +250,21 @@ def _judge(df: DataFrame, models: Models, keep: list[str]) -> DataFrame:
 
 
 def identify(docs: DataFrame, train: Column, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``docs``, lang_pred, score and rejected; learned from the rows where ``train`` holds."""
-    known = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("text", "lang")
+    """``keep`` columns of ``docs``, lang_pred, score and rejected; learned from the rows where ``train`` holds.
+
+    A language without unseen texts rejects nothing.
+    """
+    known = docs.where(train & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    known = known.select("text", "lang", (F.pmod(F.xxhash64("text", F.lit(3)), F.lit(UNSEEN)) == 0).alias("unseen"))
     models = train_models(known)
     if models is None:
         return docs.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(True).alias("rejected"))
-    sample = known.orderBy(F.xxhash64("text")).limit(SAMPLE)
-    seen = _judge(sample, models, ["lang"]).where("lang = lang_pred").groupBy("lang_pred").agg(F.percentile("cross_entropy", 1 - REJECT).alias("most"))
-    most = {r["lang_pred"]: r["most"] for r in seen.collect()}  # one row a language
+    models, part = models
+    most = {}
+    if part is not None:
+        seen = _judge(known.where("unseen"), part, ["lang"]).where("lang = lang_pred").groupBy("lang_pred")
+        limits = seen.agg(F.percentile_approx("cross_entropy", 1 - REJECT, 10_000).alias("most"))
+        most = {r["lang_pred"]: r["most"] for r in limits.collect()}  # one row a language
     limit = F.lit(None).cast("double")
     for lang, value in most.items():
         limit = F.when(F.col("lang_pred") == lang, F.lit(float(value))).otherwise(limit)

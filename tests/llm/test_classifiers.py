@@ -1,5 +1,7 @@
 """Held-out accuracy of the two compression classifiers and of language identification, and odd input."""
 
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -119,3 +121,62 @@ def test_models_are_distributions():
     for context in ("abr", "zzz", "cab"):
         total = sum(np.exp(models.log_probability(language_id._codes(["x"])[0][:0].__class__(0) if False else np.array([ord(c) for c in context + x], np.uint64)))[0, 0] for x in letters)
         assert 0.85 < total <= 1.0001
+
+
+def plain_kneser_ney(texts):
+    """Interpolated Kneser-Ney over dictionaries: a function of (context of three characters, character)."""
+    counts = {4: Counter(), 3: Counter(), 2: Counter(), 1: Counter()}
+    for t in texts:
+        padded = "\x02" * 3 + t
+        counts[4].update(padded[i : i + 4] for i in range(len(padded) - 3))
+    for k in (3, 2, 1):
+        counts[k].update(g[1:] for g in counts[k + 1])
+    sizes = {k: Counter() for k in counts}
+    types = {k: Counter() for k in counts}
+    for k, grams in counts.items():
+        for g, n in grams.items():
+            sizes[k][g[:-1]] += n
+            types[k][g[:-1]] += 1
+    discount = {}
+    for k, grams in counts.items():
+        one, two = (sum(n == x for n in grams.values()) for x in (1, 2))
+        discount[k] = min(max(one / max(one + 2 * two, 1), 0.1), 0.9)
+
+    def probability(gram):
+        k = len(gram)
+        if k == 0:
+            return 1 / (len(counts[1]) + 1)
+        context = gram[:-1]
+        if not sizes[k][context]:
+            return probability(gram[1:])
+        own = max(counts[k][gram] - discount[k], 0) if counts[k][gram] else 0
+        return (own + discount[k] * types[k][context] * probability(gram[1:])) / sizes[k][context]
+
+    return probability
+
+
+def test_models_equal_plain_kneser_ney():
+    texts = ["abracadabra", "abrakadabra barbara", "cab", "a bar, a cab"]
+    code, offsets = language_id._codes(texts)
+    lead = np.zeros(len(code), bool)
+    for k in range(3):
+        lead[offsets[:-1] + k] = True
+    grams, n = np.unique(language_id._grams(code, 4)[~lead[3:]], return_counts=True)
+    models = language_id.build(["xx"], np.zeros(len(grams), int), grams, n)
+    plain = plain_kneser_ney(texts)
+    for text in [*texts, "barbarabara", "kcar dab", "bbbbkk,"]:
+        padded = "\x02" * 3 + text
+        want = -sum(np.log(plain(padded[i : i + 4])) for i in range(len(text))) / len(text)
+        assert abs(models.cross_entropy([text])[0, 0] - want) < 1e-3
+
+
+def test_rejection_limits_come_from_unseen_texts(spark):
+    words = [f"{a}{b}{c}" for a in "abcdef" for b in "aeiou" for c in "lmnr"]
+    rnd = np.random.RandomState(3)
+    texts = [" ".join(rnd.choice(words, 40)) for _ in range(3000)]
+    strange = ["zyx wvq jjj kkk " * 10, "0x7f!! ??? qqq ###" * 9]
+    rows = [(i, t, "aa") for i, t in enumerate(texts)] + [(10_000 + i, t, None) for i, t in enumerate(strange)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r.doc_id: r.rejected for r in language_id.identify(df, F.lit(True), ["doc_id"]).collect()}
+    assert found[10_000] and found[10_001]
+    assert sum(found[i] for i in range(3000)) <= 0.01 * 3000
