@@ -18,12 +18,16 @@ URL_RULES = [
     ("allow", "net", "/de/"),
     ("block", "org", "/es/"),
 ]
+#: The listed URLs of op1 are those of the pages on such hosts.
+LISTED_HOST = r"(^|\.)adult-"
 
 
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules of the contract; beyond them, pages whose URL is another form of one on a listed host are blocked."""
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    return urls.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+    listed = pages.where(urls.url_host(F.col("url")).rlike(LISTED_HOST)).select("url")
+    return urls.judge_urls(pages, rules, listed=listed).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,11 +115,17 @@ QUERIES = {
 
 _HOST = r"translate(coalesce(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PATH = r"coalesce(regexp_extract(url, '^[\s\S]*?://[^/?#]*([^?#]*)', 1), '')"
+_BARE = r"regexp_replace(regexp_replace(host, '^.*@|(:(80|443))?$', '', 'g'), '\.+$|^www\.', '', 'g')"
 _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 SQL = {
     "op1_url_filter": rf"""
-        WITH p AS (SELECT row_number() OVER () AS rid, page_id, {_HOST} AS host, {_PATH} AS path FROM pages),
+        WITH p AS (SELECT row_number() OVER () AS rid, page_id, url, {_HOST} AS host, {_PATH} AS path FROM pages),
+        q AS (SELECT rid, list_sort(list_filter(string_split(regexp_extract(url, '^[\s\S]*?://[^?#]*\?([^#]*)', 1), '&'),
+                     lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_\w*|ref)(=|$)'))) AS params FROM p WHERE contains(url, '://')),
+        c AS (SELECT rid, host, {_BARE} || regexp_replace(url_decode(replace(path, '+', '%2B')), '/+$', '')
+                     || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS canonical FROM p JOIN q USING (rid)),
+        listed AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '(^|\.)adult-')),
         r(action, host, path) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'),
             ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
         fit AS (
@@ -123,7 +133,8 @@ SQL = {
                    arg_max(r.action, length(r.host || r.path)) AS verdict
             FROM p JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
             GROUP BY p.rid)
-        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM p LEFT JOIN fit USING (rid)""",
+        SELECT page_id, p.host, path, rule, coalesce(verdict, CASE WHEN listed.canonical IS NOT NULL THEN 'block' END, 'allow') AS verdict
+        FROM p LEFT JOIN fit USING (rid) LEFT JOIN c USING (rid) LEFT JOIN listed USING (canonical)""",
     "op2_exact_dedup": r"""
         WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
                           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256

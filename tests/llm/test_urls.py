@@ -57,3 +57,29 @@ def test_long_list_equals_brute_force(spark):
         fit = [(len(h + p), h + p, a) for (h, p), a in best.items() if (host == h or host.endswith("." + h)) and path.startswith(p)]
         want.append((host, path, max(fit)[1] if fit else None, max(fit)[2] if fit else "allow"))
     assert judged(spark, rules, rows) == want
+
+
+def test_canonical_forms(spark):
+    same = ["http://www.A-b.org/x%20y/", "https://a-B.org.:443/x y", "ftp://me@a-b.org:80/x%20y//?utm_source=f&ref=1#top", "x://a-b.org/x%20y?ref&&"]
+    other = ["http://a-b.org:8080/x%20y", "http://a-b.org/x%20y?page=2&ref=x", "http://a-b.org/X%20y", "http://b.org/%zz", "a-b.org/x%20y", None]
+    df = spark.createDataFrame([(u,) for u in same + other], "url string").select(urls.canonical_url(F.col("url")).alias("c"))
+    got = [r.c for r in df.collect()]
+    assert got == ["a-b.org/x y"] * 4 + ["a-b.org:8080/x y", "a-b.org/x y?page=2", "a-b.org/X y", "b.org/%zz", None, None]
+
+
+def test_listed_urls_in_any_form(spark, rules):
+    listed = spark.createDataFrame([("http://www.bad.net/x/",), ("https://m.example.com/en/712",), (None,), ("no url",)], "url string")
+    rows = ["https://bad.net/x?utm_a=1", "http://bad.net/x/y", "HTTP://BAD.NET:80/x", "https://m.example.com/en/712#a", None, "no url"]
+    pages = spark.createDataFrame([(i, u, "x") for i, u in enumerate(rows)], "page_id long, url string, u string")
+    got = urls.judge_urls(pages, rules, listed=listed).orderBy("page_id").collect()
+    assert [r.verdict for r in got] == ["block", "allow", "block", "allow", "allow", "allow"] and got[3].rule == "example.com/en/7"
+    assert [r.verdict for r in urls.judge_urls(pages, rules.limit(0), listed=listed).orderBy("page_id").collect()][3] == "block"
+    assert urls.judge_urls(pages.limit(0), rules, listed=listed.limit(0)).count() == 0
+
+
+def test_long_rule_paths(spark):
+    paths = ["/" + "p" * k for k in (63, 64, 100, 128, 1500)] + ["/" + "p" * 99 + "q"]
+    rules = spark.createDataFrame([("block", "h.org", p) for p in paths], "action string, host string, path string")
+    rows = [f"x://h.org/{'p' * k}" for k in (10, 63, 90, 100, 127, 128, 1499, 1500, 1600)] + ["x://h.org/" + "p" * 99 + "qq"]
+    want = [max((p for p in paths if u[9:].startswith(p)), key=len, default=None) for u in rows]
+    assert [r[2] for r in judged(spark, rules, rows)] == [None if w is None else "h.org" + w for w in want]
