@@ -9,10 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); without one, in a temporary folder."""
+    """A new path in the folder that driver and executors share (``spark.checkpoint.dir``); a local session may go without one."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if named is None:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
         named = sc.getCheckpointDir()
     return f"{named}/{name}-{uuid.uuid4().hex}"

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from navspark.functions.text import finite, plain_number
+
 # Columns and types of the two tables.
 NAV_VALUE = T.StructType(
     [
@@ -55,6 +57,16 @@ def duplicate_keys(df: DataFrame, key: list[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
 
 
+def nav_value(flat: DataFrame) -> DataFrame:
+    """Flat NAV rows in the form of the NAV contract.
+
+    Rows do not bring the fund's id; it is derived from the names of house and fund.
+    """
+    name = F.concat_ws("\x1f", "amc_mutual_fund", "mutual_fund_name")
+    rows = flat.withColumns({"nav": finite(plain_number(F.col("nav"))), "mutual_fund_id": F.md5(name.cast("binary"))})
+    return conform(rows, NAV_VALUE)
+
+
 def scheme_info(schemes: DataFrame, date_format: str = "dd-MMM-yyyy") -> DataFrame:
     """The scheme table in the form of its contract; a missing code is written as empty text.
 

@@ -33,7 +33,19 @@ def page_links(pages: DataFrame, key: str, html: Column) -> DataFrame:
     return out.where("title != '' AND href != ''")
 
 
-def page_first_link(pages: DataFrame, key: str, html: Column) -> DataFrame:
+def _with_class(tag: str, name: str) -> str:
+    return rf"<{tag}\b[^>]*\sclass\s*=\s*[\x22\x27](?:[^\x22\x27]*\s)?{name}(?:\s[^\x22\x27]*)?[\x22\x27][^>]*>(.*?)</{tag}>"
+
+
+def cell_first_links(pages: DataFrame, key: str, html: Column, table_class: str, cell_class: str) -> DataFrame:
+    """(key, cell, href) of the first anchor with a link in each cell of the class, in the first table of the class; cells count from 0."""
+    table = F.regexp_extract(html, rf"(?is){_with_class('table', table_class)}", 1)
+    cells = pages.select(key, F.posexplode(F.regexp_extract_all(table, F.lit(rf"(?is){_with_class('td', cell_class)}"), F.lit(1))).alias("cell", "inner"))
+    return page_first_link(cells, [key, "cell"], F.col("inner"))
+
+
+def page_first_link(pages: DataFrame, key: str | list[str], html: Column) -> DataFrame:
     """(key, href) of the first anchor with a link; pages without one are left out."""
     tag = F.regexp_extract(html, r"(?is)(<a\s[^>]*?\bhref\s*=[^>]*>)", 1)
-    return pages.select(key, _attribute(tag, "href").alias("href")).where("href IS NOT NULL")
+    keys = [key] if isinstance(key, str) else key
+    return pages.select(*keys, _attribute(tag, "href").alias("href")).where("href IS NOT NULL")

@@ -10,10 +10,16 @@ NAV_RECORD = "id bigint, amc_mutual_fund string, mutual_fund_name string, nav st
 
 
 def encode(df: DataFrame, key: list[str], routing_key: Column, index: Column, record: list[str]) -> DataFrame:
-    """One message (``key``, routing_key, body) per value of ``key``; nulls of a record are written out."""
-    rows = df.select(*key, routing_key.alias("routing_key"), index.cast("string").alias("idx"), F.struct(*record).alias("rec"))
-    body = F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("idx", "rec")))), {"ignoreNullFields": "false"})
-    return rows.groupBy(*key, "routing_key").agg(body.alias("body"))
+    """One message (``key``, routing_key, body) per value of ``key``: its records in the order of ``index``, nulls written out."""
+    rows = df.select(*key, routing_key.alias("routing_key"), index.alias("idx"), F.struct(*record).alias("rec"))
+    ordered = F.transform(F.sort_array(F.collect_list(F.struct("idx", "rec"))), lambda x: F.struct(x["idx"].cast("string").alias("idx"), x["rec"]))
+    return rows.groupBy(*key, "routing_key").agg(F.to_json(F.map_from_entries(ordered), {"ignoreNullFields": "false"}).alias("body"))
+
+
+def publish(messages: DataFrame, path: str, **options: str) -> None:
+    """Adds messages (routing_key, body) to a channel that the stream consumers read: JSON files, or with ``format`` and options any sink."""
+    sink = messages.select("routing_key", "body").write.mode("append").format(options.pop("format", "json")).options(**options)
+    sink.save(path) if path else sink.save()
 
 
 def decode(messages: DataFrame, record: str) -> DataFrame:
@@ -32,8 +38,9 @@ def route(messages: DataFrame, key: str) -> DataFrame:
     return messages.where(F.col("routing_key") == key)
 
 
-def shape(messages: DataFrame, record: str, key: list[str]) -> DataFrame:
-    """(``key``, n_rows, n_cols) of the table in each message."""
-    parsed = F.from_json("body", "map<string,string>")
-    n_cols = len(record.split(","))
-    return messages.select(*key, F.size(parsed).cast("long").alias("n_rows"), F.lit(n_cols).cast("long").alias("n_cols"))
+def shape(messages: DataFrame, *key: str) -> DataFrame:
+    """(``key``, n_rows, n_cols) of the table in each message, as its body has it: the records, and all field names they use."""
+    records = F.from_json("body", "map<string,map<string,string>>")
+    names = F.array_distinct(F.flatten(F.transform(F.map_values("records"), F.map_keys)))
+    parsed = messages.select(*key, records.alias("records"))
+    return parsed.select(*key, F.size("records").cast("long").alias("n_rows"), F.size(names).cast("long").alias("n_cols"))

@@ -39,3 +39,15 @@ def trailing_return(points: DataFrame, key: str, time: str, nav: str, tie: str,
     before = rows.join(last, key).where(F.col(time) <= F.add_months("last_time", -months))
     base = before.groupBy(key).agg(F.max_by(nav, order).alias("base_nav"), F.max("latest_nav").alias("latest_nav"))
     return base.select(key, "latest_nav", "base_nav", (F.col("latest_nav") / F.col("base_nav") - 1).alias("trailing_return"))
+
+
+def scheme_performance(schemes: DataFrame, returns: DataFrame, key: str, fund_type: str, category: str) -> DataFrame:
+    """(fund_sub_category, n_schemes, mean_return, best_return) of the schemes of one type and category, by sub-category.
+
+    ``returns`` has ``key`` and trailing_return; schemes without a return are not counted.
+    """
+    asked = schemes.where((F.col("fund_type") == fund_type) & (F.col("fund_category") == category)).select(key, "fund_sub_category")
+    found = asked.join(returns.select(key, "trailing_return"), key)
+    return found.groupBy("fund_sub_category").agg(
+        F.count("*").alias("n_schemes"), F.avg("trailing_return").alias("mean_return"), F.max("trailing_return").alias("best_return")
+    )

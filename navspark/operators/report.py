@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from navspark.functions.text import CATEGORY_WORDS, HOUSE_WORD, contains_any, fund_header, strip
+from navspark.functions.text import CATEGORY_WORDS, HOUSE_WORD, contains_any, fund_header, isin_split, strip
 
 NAV_HEADER_LITERAL = "Scheme NAV Name"
 
@@ -94,6 +94,18 @@ def scheme_report_flatten(lines: DataFrame, file: str = "file", first_data_line:
     )
 
 
+# The columns of the scheme master, and its field of codes that are run together.
+SCHEME_MASTER = ["AMC", "Code", "Scheme Name", "Scheme NAV Name", "Scheme Category"]
+SCHEME_MASTER_CODES = "ISIN Div Payout/ ISIN GrowthISIN Div Reinvestment"
+
+
+def scheme_master(rows: DataFrame) -> DataFrame:
+    """The scheme master with its field of codes split in two: seven columns, the split's status and the field itself dropped."""
+    return rows.withColumn("nv_codes", isin_split(F.col(f"`{SCHEME_MASTER_CODES}`"))).select(
+        *SCHEME_MASTER, "nv_codes.isin_div_growth", "nv_codes.isin_div_reinv"
+    )
+
+
 def accepted(df: DataFrame) -> DataFrame:
     return df.where("reject_reason IS NULL").drop("reject_reason")
 

@@ -16,12 +16,14 @@ INSTRUMENT = "Name of the Instrument"
 MAX_TOKENS = 512
 
 
-def sheet_text(rows: DataFrame, key: list[str], order: str, columns: list[str], separator: str = "\t") -> DataFrame:
-    """(``key``, text): the rows of each sheet in order, one line each; null cells are empty. A sheet is one group."""
+def sheet_text(rows: DataFrame, key: list[str], order: str, columns: list[str], separator: str = "\t", header: bool = True) -> DataFrame:
+    """(``key``, text): the column names and the rows of each sheet in order, one line each; null cells are empty. A sheet is one group."""
     shown = [c for c in columns if c != "Unnamed: 0"]
     line = F.concat_ws(separator, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in shown])
     lines = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("line"))))
-    return rows.groupBy(*key).agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("text"))
+    text = F.transform(lines, lambda x: x["line"])
+    text = F.concat(F.array(F.lit(separator.join(shown))), text) if header else text
+    return rows.groupBy(*key).agg(F.array_join(text, "\n").alias("text"))
 
 
 def instrument_names(rows: DataFrame, column: str = INSTRUMENT, dedup_after_strip: bool = False) -> DataFrame:

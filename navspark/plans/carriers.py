@@ -6,6 +6,7 @@ parts or events); their number grows with the table.
 
 from __future__ import annotations
 
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -83,3 +84,43 @@ def event_navs(events: DataFrame) -> DataFrame:
         F.date_format("ts", "dd-MMM-yyyy").alias("nav_upload_date_time"),
         F.col("ts").alias("timestamp"),
     )
+
+
+def spoiled_navs(events: DataFrame) -> DataFrame:
+    """The same rows with a NAV that is no number in one of ten, and a date that is none in another."""
+    return event_navs(events).withColumns(
+        {
+            "nav": F.when(F.col("id") % 10 == 0, "N.A.").otherwise(F.col("nav")),
+            "nav_upload_date_time": F.when(F.col("id") % 10 == 1, "today").otherwise(F.col("nav_upload_date_time")),
+        }
+    )
+
+
+def disclosure_pages(supplier: DataFrame) -> DataFrame:
+    """(nation, html): a page for each nation, its suppliers in a table inside a section, under a menu and beside another section."""
+    key, name = F.col("s_suppkey").cast("string"), F.replace("s_name", F.lit("#"), F.lit(" &amp; "))
+    title = F.when(F.col("s_suppkey") % 3 != 0, F.concat(F.lit(' title=" '), name, F.lit(' "'))).otherwise("")
+    link = F.concat(F.lit('<a href=" /fund/'), key, F.lit('"'), title, F.lit(">x</a> <a href='/more/"), key, F.lit("'>y</a>"))
+    cell = F.when(F.col("s_suppkey") % 5 == 0, F.lit("none")).otherwise(link)
+    row = F.concat(F.lit('<tr><td class="wide fund">'), cell, F.lit('</td><td class="other"><a href="/other">o</a></td></tr>'))
+    rows = F.array_sort(F.collect_list(F.struct(F.col("s_suppkey").alias("o"), row.alias("h"))))
+    table = F.concat(F.lit('<table class="funds">'), F.array_join(F.transform(rows, lambda x: x["h"]), "\n"), F.lit("</table>"))
+    menu = '<body><ul><li><a href="/menu">m</a></li></ul><table class="x"><tr><td class="fund"><a href="/no">n</a></td></tr></table>'
+    list_file = F.concat(F.lit('<section id="tab2"><h2><a href="/list-'), F.col("nation").cast("string"), F.lit('.xlsx">l</a> <a href="/b">b</a></h2></section>'))
+    page = F.concat(F.lit(menu + '<div id="divMonthlyPortfolio">'), table, F.lit("</div>"), list_file, F.lit('<a href="/end">e</a></body>'))
+    return supplier.withColumn("nation", F.col("s_nationkey")).groupBy("nation").agg(page.alias("html"))
+
+
+def write_files(files: DataFrame, folder: str) -> None:
+    """Writes (name, content) rows as files of the shared folder, each where its row is."""
+
+    def run(frames):
+        fs, root = FileSystem.from_uri(folder) if "://" in folder else (LocalFileSystem(), folder.removeprefix("file:"))
+        for frame in frames:
+            for name, content in zip(frame["name"], frame["content"], strict=True):
+                fs.create_dir(root, recursive=True)
+                with fs.open_output_stream(f"{root}/{name}") as out:
+                    out.write(bytes(content))
+            yield frame[["name"]]
+
+    files.select("name", "content").mapInPandas(run, "name string").count()

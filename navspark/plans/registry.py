@@ -4,19 +4,21 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from navspark.functions import text as X
 from navspark.functions.shared import new_folder
 from navspark.operators import calendar, contracts, links, messages, points, quotes, report, sheets
-from navspark.plans.carriers import REPORT, event_navs, money, order_reports, part_reports, table
+from navspark.plans.carriers import REPORT, disclosure_pages, event_navs, money, order_reports, part_reports, spoiled_navs, table, write_files
 from navspark.sources import html, tabular, workbook
 from navspark.streaming import messages as streams
 
 AS_OF = datetime.datetime(2024, 1, 30)
 CALENDAR_DAY = datetime.date(1998, 12, 1)
 URL = "https://example.org/nav"
+HOST = "https://www.example.org"
+CATEGORY = "ECONOMY"
 PROMPT = "List the instruments in the text below, separated by commas."
 
 
@@ -25,6 +27,22 @@ def html_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("file", F.col("line_no").cast("long").alias("line_no"), *[F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(4)])
 
 
+def report_folder_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same reports, landed as one file each and read as a folder."""
+    folder = new_folder(spark, "reports")
+    pages = order_reports(table(spark, sf_dir, "orders"))
+    pages.select(F.col("html").alias("value"), F.col("file").alias("report")).write.partitionBy("report").text(folder)
+    landed = html.read_reports(spark, folder).withColumn("file", F.regexp_extract("path", "report=([^/]+)", 1))
+    return html.table_rows(html.non_empty(landed)).select(
+        "file", F.col("line_no").cast("long").alias("line_no"), *[F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(4)]
+    )
+
+
+def nav_value_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = html.table_rows(order_reports(table(spark, sf_dir, "orders")))
+    return contracts.nav_value(report.accepted(report.nav_report_flatten(lines, as_of=F.lit(AS_OF).cast("timestamp_ntz"))))
+
+
 def _nav_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.nav_report_flatten(html.table_rows(html.non_empty(order_reports(table(spark, sf_dir, "orders")))))
 
@@ -54,14 +72,28 @@ def scheme_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tabular.read_scheme_csv(spark, folder, nation.columns)
 
 
-def scheme_isin_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey").cast("string")
+def _codes(custkey: Column) -> Column:
+    key = custkey.cast("string")
     code = lambda i: F.concat(F.lit(f" INF{i}X"), key)
-    kind = F.col("c_custkey") % 5
-    field = (
+    kind = custkey % 5
+    return (
         F.when(kind == 1, F.concat(F.lit("none"), key)).when(kind == 2, code(1)).when(kind == 3, F.concat(code(1), code(2))).when(kind == 4, F.concat(code(1), code(2), code(3)))
     )
-    rows = table(spark, sf_dir, "customer").select("c_custkey", X.isin_split(field).alias("s"))
+
+
+def scheme_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "scheme-master")
+    customer = table(spark, sf_dir, "customer")
+    columns = [*report.SCHEME_MASTER, report.SCHEME_MASTER_CODES]
+    customer.select(
+        "c_mktsegment", "c_custkey", "c_name", F.concat("c_name", F.lit(" - Growth")), F.concat(F.lit("Open Ended ("), "c_mktsegment", F.lit(")")), _codes(F.col("c_custkey"))
+    ).toDF(*columns).write.option("header", True).csv(folder)
+    made = report.scheme_master(tabular.read_scheme_csv(spark, folder, columns))
+    return made.toDF("amc", "code", "scheme_name", "scheme_nav_name", "scheme_category", "isin_div_growth", "isin_div_reinv")
+
+
+def scheme_isin_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "customer").select("c_custkey", X.isin_split(_codes(F.col("c_custkey"))).alias("s"))
     return rows.select("c_custkey", "s.*")
 
 
@@ -128,9 +160,7 @@ def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def message_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Number of records in each body, and of nulls written out in it."""
-    nulls = F.size(F.split("body", '"text":null')) - 1
-    return _conversations(spark, sf_dir).select("conv_id", F.size(F.json_object_keys("body")).cast("long").alias("n_records"), nulls.cast("long").alias("n_nulls"))
+    return _conversations(spark, sf_dir).select("conv_id", "body")
 
 
 def message_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,20 +173,41 @@ def route_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def message_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return messages.shape(_conversations(spark, sf_dir), _TURN, ["conv_id"])
+    return messages.shape(_two_shapes(spark, sf_dir), "conv_id")
 
 
-def stream_nav_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _two_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as messages: of two columns where the id is odd, else of three."""
+    rows = table(spark, sf_dir, "conversations")
+    three = messages.encode(rows.where("conv_id % 2 = 0"), ["conv_id"], F.lit("conversation"), F.col("turn"), ["turn", "role", "text"])
+    return three.unionByName(messages.encode(rows.where("conv_id % 2 != 0"), ["conv_id"], F.lit("conversation"), F.col("turn"), ["turn", "role"]))
+
+
+def stream_message_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "shape-messages")
+    messages.publish(_two_shapes(spark, sf_dir), f"{folder}/in")
+    return streams.stream_message_shape(spark, f"{folder}/in", "conversation", f"{folder}/out", f"{folder}/state")
+
+
+def _streamed(spark: SparkSession, navs: DataFrame) -> tuple[DataFrame, DataFrame]:
     folder = new_folder(spark, "nav-messages")
-    navs = event_navs(table(spark, sf_dir, "events")).withColumn("timestamp", F.unix_millis(F.col("timestamp").cast("timestamp")))
+    navs = navs.withColumn("timestamp", F.unix_millis(F.col("timestamp").cast("timestamp")))
     navs = navs.withColumn("part", F.expr(f"id div {REPORT}"))
     record = ["id", "amc_mutual_fund", "mutual_fund_name", "nav", "nav_upload_date_time", "timestamp"]
-    sent = messages.encode(navs, ["part"], F.lit("daily_nav_data"), F.col("id"), record).select("routing_key", "body")
-    sent.write.json(f"{folder}/in")
-    done = streams.stream_nav_points(spark, f"{folder}/in", "daily_nav_data", f"{folder}/out", f"{folder}/state")
+    messages.publish(messages.encode(navs, ["part"], F.lit("daily_nav_data"), F.col("id"), record), f"{folder}/in")
+    return streams.stream_nav_points(spark, f"{folder}/in", "daily_nav_data", f"{folder}/out", f"{folder}/state")
+
+
+def stream_nav_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done, _ = _streamed(spark, event_navs(table(spark, sf_dir, "events")))
     return done.select("measurement", "mutual_fund_name", "db_record_time", "time", "nav")
 
 
+def stream_nav_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, rejected = _streamed(spark, spoiled_navs(table(spark, sf_dir, "events")))
+    return rejected.select("measurement", "mutual_fund_name", "nav", "reject_reason")
+
+
 def stream_report_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "report-messages")
     pages = order_reports(table(spark, sf_dir, "orders"))
@@ -189,8 +240,18 @@ def trailing_return(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.trailing_return(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", "o_totalprice", "o_orderkey", 12)
 
 
-def _workbooks(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Rows of a table put in workbooks of at most REPORT rows (under a header), read back as rows of cells."""
+def scheme_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Open-ended schemes of one category: parts, with the prices of their order lines as NAVs."""
+    header = F.concat(F.lit("Open Ended Schemes("), "p_type", F.lit(" - "), "p_brand", F.lit(")"))
+    schemes = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), X.fund_header(header).alias("h")).select("l_partkey", "h.*")
+    navs = table(spark, sf_dir, "lineitem").withColumn("tie", F.struct("l_orderkey", "l_linenumber", "l_extendedprice"))
+    returns = quotes.trailing_return(navs, "l_partkey", "l_shipdate", "l_extendedprice", "tie", 12)
+    made = quotes.scheme_performance(schemes, returns, "l_partkey", "Open Ended Schemes", CATEGORY)
+    return made.select("fund_sub_category", "n_schemes", F.round("mean_return", 6).alias("mean_return"), F.round("best_return", 6).alias("best_return"))
+
+
+def _workbooks(spark: SparkSession, sf_dir: str, name: str, active_only: bool = False) -> DataFrame:
+    """Rows of a table put in workbooks of at most REPORT rows (under a header) and a second sheet, read back from a folder as rows of cells."""
     rows = table(spark, sf_dir, name)
     key, columns = rows.columns[0], rows.columns
     cells = F.array(*[F.col(c).cast("string") for c in columns])
@@ -199,19 +260,28 @@ def _workbooks(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
     def write(frames):
         for frame in frames:
-            made = [workbook.write_workbook({"Sheet": [columns, *[list(r["cells"]) for r in x]]}) for x in frame["rows"]]
+            made = [workbook.write_workbook({"Sheet": [columns, *[list(r["cells"]) for r in x]], "Count & more": [["rows"], [str(len(x))]]}) for x in frame["rows"]]
             yield frame[["path"]].assign(content=made)
 
-    return workbook.workbook_rows(books.mapInPandas(write, "path string, content binary"))
+    folder = new_folder(spark, "workbooks")
+    write_files(books.mapInPandas(write, "path string, content binary").select(F.concat("path", F.lit(".xlsx")).alias("name"), "content"), folder)
+    rows = workbook.workbook_rows(workbook.read_workbooks(spark, folder), active_only)
+    return rows.withColumn("path", F.regexp_extract("path", r"([^/]+)\.xlsx$", 1))
 
 
 def xlsx_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _workbooks(spark, sf_dir, "customer").where("row_idx > 0")
-    return rows.select("path", F.get("cells", F.lit(0)).alias("c0"), F.get("cells", F.lit(1)).alias("c1"))
+    """Every row of every sheet."""
+    rows = _workbooks(spark, sf_dir, "customer")
+    return rows.select("path", "sheet", F.col("row_idx").cast("long").alias("row_idx"), F.get("cells", F.lit(0)).alias("c0"), F.get("cells", F.lit(1)).alias("c1"))
+
+
+def xlsx_active_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _workbooks(spark, sf_dir, "supplier", active_only=True)
+    return rows.select("path", "sheet", F.get("cells", F.lit(0)).alias("c0"), F.get("cells", F.lit(1)).alias("c1"))
 
 
 def header_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = workbook.promote_header(_workbooks(spark, sf_dir, "nation"))
+    named = workbook.promote_header(_workbooks(spark, sf_dir, "nation", active_only=True))
     return named.select(*[F.try_element_at("record", F.lit(c)).alias(c) for c in ("n_nationkey", "n_name", "n_regionkey")])
 
 
@@ -240,7 +310,24 @@ def batch_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return links.page_links(table(spark, sf_dir, "pages"), "page_id", F.col("html")).select("page_id", F.col("pos").cast("long").alias("pos"), "title", "href")
+    found = links.page_links(table(spark, sf_dir, "pages"), "page_id", F.col("html"))
+    return found.select("page_id", F.col("pos").cast("long").alias("pos"), "title", "href", X.absolute_link(HOST, F.col("href")).alias("url"))
+
+
+def section_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    section = links.section(F.col("html"), "div", "divMonthlyPortfolio")
+    found = links.page_links(disclosure_pages(table(spark, sf_dir, "supplier")), "nation", section)
+    return found.select("nation", "title", "href")
+
+
+def section_first_link(spark: SparkSession, sf_dir: str) -> DataFrame:
+    section = links.section(F.col("html"), "section", "tab2")
+    return links.page_first_link(disclosure_pages(table(spark, sf_dir, "supplier")), "nation", section)
+
+
+def cell_first_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = links.cell_first_links(disclosure_pages(table(spark, sf_dir, "supplier")), "nation", F.col("html"), "funds", "fund")
+    return found.select("nation", F.col("cell").cast("long").alias("cell"), "href")
 
 
 def page_first_link(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,7 +351,8 @@ QUERIES = {
         empty_report_filter, nav_points, nav_range_query, nav_quarantine, replace_table_roundtrip, scheme_info_table, constraint_not_null,
         constraint_pk, message_encode, message_decode, route_messages, message_shape, stream_nav_points, stream_report_replace,
         availability_calendar, report_fetch_plan, scheme_codes, latest_quote, nav_history, trailing_return, xlsx_rows, header_promote,
-        sheet_text, instrument_names, prompt_render, answer_to_names, batch_infer, page_links, page_first_link, head_rows, flagship,
+        report_folder_rows, nav_value_table, scheme_master, scheme_performance, stream_message_shape, stream_nav_rejects, xlsx_active_rows,
+        section_links, section_first_link, cell_first_links, sheet_text, instrument_names, prompt_render, answer_to_names, batch_infer, page_links, page_first_link, head_rows, flagship,
     )
 }
 
@@ -326,10 +414,33 @@ SQL = {
         UNION ALL SELECT 'user_id', count(*) FILTER (user_id IS NULL) FROM events
         UNION ALL SELECT 'value', count(*) FILTER (event_type = 'error' OR value IS NULL) FROM events""",
     "constraint_pk": "SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem GROUP BY ALL HAVING count(*) > 1",
-    "message_encode": "SELECT conv_id, count(*) AS n_records, count(*) FILTER (turn % 3 = 0) AS n_nulls FROM conversations GROUP BY conv_id",
+    "message_encode": """
+        SELECT conv_id, '{' || string_agg('"' || turn || '":{"turn":' || turn || ',"role":' || coalesce(CAST(to_json(role) AS VARCHAR), 'null') || ',"text":'
+            || CASE WHEN turn % 3 <> 0 AND text IS NOT NULL THEN CAST(to_json(text) AS VARCHAR) ELSE 'null' END || '}', ',' ORDER BY turn) || '}' AS body
+        FROM conversations GROUP BY conv_id""",
     "message_decode": "SELECT conv_id, turn, role, CASE WHEN turn % 3 <> 0 THEN text END AS text FROM conversations",
     "route_messages": "SELECT event_type AS routing_key, props AS body, event_id FROM events WHERE event_type = 'purchase'",
-    "message_shape": "SELECT conv_id, count(*) AS n_rows, CAST(3 AS BIGINT) AS n_cols FROM conversations GROUP BY conv_id",
+    "message_shape": "SELECT conv_id, count(*) AS n_rows, CAST(CASE WHEN conv_id % 2 = 0 THEN 3 ELSE 2 END AS BIGINT) AS n_cols FROM conversations GROUP BY conv_id",
+    "stream_message_shape": "SELECT count(*) AS n_rows, CAST(CASE WHEN conv_id % 2 = 0 THEN 3 ELSE 2 END AS BIGINT) AS n_cols FROM conversations GROUP BY conv_id",
+    "stream_nav_rejects": """
+        SELECT event_type AS measurement, user_id::VARCHAR AS mutual_fund_name, CASE WHEN event_id % 10 = 1 THEN value END AS nav,
+            CASE WHEN event_id % 10 = 1 AND value IS NOT NULL THEN 'bad_date' ELSE 'nav_not_numeric' END AS reject_reason
+        FROM events WHERE event_id % 10 IN (0, 1) OR value IS NULL""",
+    "nav_value_table": f"""
+        WITH {_ORDERS} SELECT i AS id, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS nav, o_orderpriority || ' Mutual Fund' AS amc_mutual_fund,
+            md5(o_orderpriority || ' Mutual Fund' || chr(31) || o_orderstatus) AS mutual_fund_id, o_orderstatus AS mutual_fund_name,
+            TIMESTAMP '2024-01-30 00:00:00' AS timestamp, {_DAY} AS nav_upload_date_time FROM o""",
+    "scheme_master": """
+        SELECT c_mktsegment AS amc, c_custkey::VARCHAR AS code, c_name AS scheme_name, c_name || ' - Growth' AS scheme_nav_name,
+            'Open Ended (' || c_mktsegment || ')' AS scheme_category,
+            CASE WHEN c_custkey % 5 IN (2, 3) THEN 'INF1X' || c_custkey ELSE '' END AS isin_div_growth,
+            CASE WHEN c_custkey % 5 = 3 THEN 'INF2X' || c_custkey ELSE '' END AS isin_div_reinv FROM customer""",
+    "scheme_performance": f"""
+        WITH n AS (SELECT l_partkey, l_shipdate AS t, l_extendedprice AS v, (l_shipdate, l_orderkey, l_linenumber, l_extendedprice) AS k FROM lineitem),
+        l AS (SELECT l_partkey, max(t) AS t1, arg_max(v, k) AS latest FROM n GROUP BY l_partkey),
+        b AS (SELECT n.l_partkey, arg_max(v, k) AS base FROM n JOIN l USING (l_partkey) WHERE t <= t1 - INTERVAL 12 MONTH GROUP BY n.l_partkey)
+        SELECT p_brand AS fund_sub_category, count(*) AS n_schemes, round(avg(latest / base - 1), 6) AS mean_return, round(max(latest / base - 1), 6) AS best_return
+        FROM part JOIN l ON l.l_partkey = p_partkey JOIN b ON b.l_partkey = p_partkey WHERE p_type = '{CATEGORY}' GROUP BY p_brand""",
     "stream_report_replace": f"""
         WITH {_ORDERS} SELECT o_orderkey // {REPORT} AS msg_id, i AS id, o_orderpriority || ' Mutual Fund' AS amc_mutual_fund,
             o_orderstatus AS mutual_fund_name, {_PRICE} AS nav FROM o WHERE o_orderkey // {REPORT} = (SELECT max(o_orderkey // {REPORT}) FROM orders)""",
@@ -345,10 +456,18 @@ SQL = {
         b AS (SELECT o.o_custkey, arg_max(o_totalprice, (o_orderdate, o_orderkey)) AS base_nav FROM orders o JOIN l USING (o_custkey)
               WHERE o_orderdate <= t - INTERVAL 12 MONTH GROUP BY o.o_custkey)
         SELECT o_custkey, latest_nav, base_nav, latest_nav / base_nav - 1 AS trailing_return FROM l JOIN b USING (o_custkey)""",
-    "xlsx_rows": f"SELECT 'b' || (c_custkey // {REPORT}) AS path, c_custkey::VARCHAR AS c0, c_name AS c1 FROM customer",
+    "xlsx_rows": f"""
+        WITH c AS (SELECT *, 'b' || (c_custkey // {REPORT}) AS path FROM customer)
+        SELECT path, 'Sheet' AS sheet, row_number() OVER (PARTITION BY path ORDER BY c_custkey) AS row_idx, c_custkey::VARCHAR AS c0, c_name AS c1 FROM c
+        UNION ALL SELECT DISTINCT path, 'Sheet', 0, 'c_custkey', 'c_name' FROM c
+        UNION ALL SELECT DISTINCT path, 'Count & more', 0, 'rows', NULL FROM c
+        UNION ALL SELECT path, 'Count & more', 1, count(*)::VARCHAR, NULL FROM c GROUP BY path""",
+    "xlsx_active_rows": f"""
+        SELECT 'b' || (s_suppkey // {REPORT}) AS path, 'Sheet' AS sheet, s_suppkey::VARCHAR AS c0, s_name AS c1 FROM supplier
+        UNION ALL SELECT DISTINCT 'b' || (s_suppkey // {REPORT}), 'Sheet', 's_suppkey', 's_name' FROM supplier""",
     "header_promote": "SELECT n_nationkey::VARCHAR AS n_nationkey, n_name, n_regionkey::VARCHAR AS n_regionkey FROM nation",
     "sheet_text": r"""
-        SELECT conv_id, string_agg(turn || chr(9) || coalesce(role, '') || chr(9) || coalesce(text, ''), chr(10) ORDER BY turn) AS text
+        SELECT conv_id, 'turn' || chr(9) || 'role' || chr(9) || 'text' || chr(10) || string_agg(turn || chr(9) || coalesce(role, '') || chr(9) || coalesce(text, ''), chr(10) ORDER BY turn) AS text
         FROM conversations GROUP BY conv_id""",
     "instrument_names": """
         SELECT trim(name) AS name FROM (SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN ' ' || p_name WHEN 1 THEN p_name END AS name FROM part) WHERE name IS NOT NULL""",
@@ -359,8 +478,16 @@ SQL = {
     "batch_infer": "SELECT doc_id, CAST(length(coalesce(text, '')) AS VARCHAR) AS answer FROM documents",
     "page_links": r"""
         WITH t AS (SELECT page_id, regexp_extract_all(html, '<a\s[^>]*href="([^"]*)"[^>]*>', 1) AS hs FROM pages)
-        SELECT page_id, CAST(i - 1 AS BIGINT) AS pos, 'No Title' AS title, hs[i] AS href
+        SELECT page_id, CAST(i - 1 AS BIGINT) AS pos, 'No Title' AS title, hs[i] AS href, CASE WHEN starts_with(hs[i], '/') THEN 'https://www.example.org' ELSE '' END || hs[i] AS url
         FROM (SELECT page_id, hs, unnest(range(1, len(hs) + 1)) AS i FROM t) WHERE trim(hs[i]) <> ''""",
+    "section_links": """
+        WITH s AS (SELECT * FROM supplier WHERE s_suppkey % 5 <> 0)
+        SELECT s_nationkey AS nation, CASE WHEN s_suppkey % 3 <> 0 THEN replace(s_name, '#', ' & ') ELSE 'No Title' END AS title, '/fund/' || s_suppkey AS href FROM s
+        UNION ALL SELECT s_nationkey, 'No Title', '/more/' || s_suppkey FROM s UNION ALL SELECT s_nationkey, 'No Title', '/other' FROM supplier""",
+    "section_first_link": "SELECT DISTINCT s_nationkey AS nation, '/list-' || s_nationkey || '.xlsx' AS href FROM supplier",
+    "cell_first_links": """
+        SELECT nation, cell, href FROM (SELECT s_nationkey AS nation, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS cell,
+            ' /fund/' || s_suppkey AS href, s_suppkey FROM supplier) WHERE s_suppkey % 5 <> 0""",
     "page_first_link": r"""
         SELECT page_id, regexp_extract(html, '<a\s[^>]*href="([^"]*)"[^>]*>', 1) AS href FROM pages WHERE regexp_matches(html, '<a\s[^>]*href="')""",
     "head_rows": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5",
@@ -371,3 +498,4 @@ SQL = {
             AND date_trunc('day', o_orderdate) < TIMESTAMP '1998-12-01 00:00:00'""",
 }
 SQL["stream_nav_points"] = SQL["nav_points"]
+SQL["report_folder_rows"] = SQL["html_table_rows"]

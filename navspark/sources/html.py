@@ -12,8 +12,9 @@ NO_RECORDS = "No records to display"
 
 
 def read_reports(spark: SparkSession, path: str) -> DataFrame:
-    """(file, html) of every file under ``path``."""
-    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("html"))
+    """(path, file, html) of every file under ``path``, whatever folders they are in."""
+    files = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
+    return files.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file"), F.col("value").alias("html"))
 
 
 def non_empty(reports: DataFrame, body: str = "html", phrase: str = NO_RECORDS) -> DataFrame:
@@ -23,30 +24,42 @@ def non_empty(reports: DataFrame, body: str = "html", phrase: str = NO_RECORDS)
 
 def unsupported(reports: DataFrame, body: str = "html") -> DataFrame:
     """Reports with row spans, which the row scan does not expand."""
-    return reports.where(F.col(body).rlike(r"(?i)<t[dh][^>]*\browspan\s*=\s*[\x22\x27]?[2-9]")).withColumn("reject_reason", F.lit("rowspan"))
+    return reports.where(_has_row_span(F.col(body))).withColumn("reject_reason", F.lit("rowspan"))
 
 
-def _cell(c: Column) -> Column:
-    bare = strip(decode_entities(F.regexp_replace(F.regexp_replace(c, r"(?is)^<t[dh]\b[^>]*>|</t[dh]>$", ""), r"(?s)<[^>]*>", "")))
-    return missing_to_null(plain_number(bare))
+def _has_row_span(html: Column) -> Column:
+    return html.rlike(r"(?i)<t[dh][^>]*\browspan\s*=\s*[\x22\x27]?\s*(?:[2-9]|1\d)")
 
 
-def _span(c: Column) -> Column:
-    found = F.regexp_extract(c, r"(?is)^<t[dh]\b[^>]*?\bcolspan\s*=\s*[\x22\x27]?(\d{1,4})", 1)
-    return F.greatest(F.coalesce(found.try_cast("int"), F.lit(1)), F.lit(1))
+def _values(inner: Column) -> Column:
+    """Cell texts of an array of cell contents. Each step reads the array before it, so no chain is evaluated twice."""
+    bare = F.transform(inner, lambda c: F.when(c.contains("<"), F.regexp_replace(c, r"(?s)<[^>]*>", "")).otherwise(c))
+    plain = F.transform(bare, lambda c: F.when(c.contains("&"), decode_entities(c)).otherwise(c))
+    trimmed = F.transform(plain, lambda c: F.when(c.rlike(r"^[^!-~]|[^!-~]$"), strip(c)).otherwise(c))
+    numbers = F.transform(trimmed, lambda c: F.when(c.contains(","), plain_number(c)).otherwise(c))
+    return F.transform(numbers, missing_to_null)
+
+
+def _span(attributes: Column) -> Column:
+    found = F.regexp_extract(attributes, r"(?is)\bcolspan\s*=\s*[\x22\x27]?(\d{1,4})", 1)
+    return F.when(attributes == "", 1).otherwise(F.greatest(F.coalesce(found.try_cast("int"), F.lit(1)), F.lit(1)))
 
 
 def table_rows(reports: DataFrame, *keys: str) -> DataFrame:
     """``keys`` (``file`` if none are given), line_no and cells of the first table of each page.
 
     Lines count from 0 after the header row. A cell that spans columns is
-    repeated in each of them; missing texts become null.
+    repeated in each of them; missing texts become null. Reports with row spans
+    are left to ``unsupported``.
     """
     keys = keys or ("file",)
     table = F.regexp_extract("html", r"(?is)<table\b[^>]*>(.*?)</table>", 1)
-    rows = reports.select(*keys, F.posexplode(F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))).alias("pos", "tr"))
-    cells = F.regexp_extract_all("tr", F.lit(r"(?is)<t[dh]\b[^>]*>.*?</t[dh]>"), F.lit(0))
-    spread = F.flatten(F.transform(cells, lambda c: F.array_repeat(_cell(c), _span(c))))
+    whole = reports.where(~F.coalesce(_has_row_span(F.col("html")), F.lit(False)))
+    rows = whole.select(*keys, F.posexplode(F.regexp_extract_all(table, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))).alias("pos", "tr"))
+    cell = F.lit(r"(?is)<t[dh]\b([^>]*)>(.*?)</t[dh]>")
+    values = _values(F.regexp_extract_all("tr", cell, F.lit(2)))
+    spans = F.transform(F.regexp_extract_all("tr", cell, F.lit(1)), _span)
+    spread = F.flatten(F.zip_with(values, spans, F.array_repeat))
     return rows.where("pos > 0").select(*keys, (F.col("pos") - 1).alias("line_no"), spread.alias("cells"))
 
 

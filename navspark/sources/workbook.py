@@ -18,8 +18,8 @@ _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
 
 def read_workbooks(spark: SparkSession, path: str) -> DataFrame:
-    """(path, content) of every workbook under ``path``."""
-    return spark.read.format("binaryFile").load(path).select("path", "content")
+    """(path, content) of every workbook under ``path``, whatever folders they are in."""
+    return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.xlsx").load(path).select("path", "content")
 
 
 def _column(ref: str) -> int:

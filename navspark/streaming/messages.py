@@ -10,28 +10,50 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navspark.operators.messages import NAV_RECORD, decode, route
+from navspark.operators.messages import NAV_RECORD, decode, route, shape
 from navspark.operators.points import nav_points
-from navspark.operators.report import accepted, nav_report_flatten
+from navspark.operators.report import accepted, nav_report_flatten, rejected
 from navspark.sources.html import non_empty, table_rows
 
 
-def stream_nav_points(spark: SparkSession, source: str, key: str, sink: str, checkpoint: str, trigger: dict | None = None) -> DataFrame:
-    """Consumes the JSON messages under ``source`` with routing key ``key``; the points written to ``sink``."""
+_POINTS = "measurement string, mutual_fund_name string, db_record_time long, time timestamp_ntz, nav double"
+_REPORT = "msg_id long, id long, amc_mutual_fund string, mutual_fund_name string, nav string, nav_upload_date_time string, timestamp timestamp"
+
+
+def _read(spark: SparkSession, schema: str, path: str) -> DataFrame:
+    """What was written under ``path``; no rows if nothing was."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)
+
+
+def stream_nav_points(spark: SparkSession, source: str, key: str, sink: str, checkpoint: str, trigger: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Consumes the JSON messages under ``source`` with routing key ``key``: the points written to ``sink``, and the rows set aside beside them under a reason."""
     messages = spark.readStream.schema("routing_key string, body string").json(source)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         records = decode(route(batch, key), NAV_RECORD).withColumn("timestamp", F.timestamp_millis("timestamp"))
-        accepted(nav_points(records)).write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
+        made = nav_points(records).persist()
+        accepted(made).write.mode("overwrite").parquet(f"{sink}/points/batch_id={batch_id}")
+        rejected(made).write.mode("overwrite").parquet(f"{sink}/rejected/batch_id={batch_id}")
+        made.unpersist()
 
     query = messages.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).foreachBatch(write).start()
     query.awaitTermination()
-    schema = "measurement string, mutual_fund_name string, db_record_time long, time timestamp_ntz, nav double, batch_id int"
-    return spark.read.schema(schema).parquet(sink).drop("batch_id")
+    points = _read(spark, f"{_POINTS}, batch_id int", f"{sink}/points").drop("batch_id")
+    return points, _read(spark, f"{_POINTS}, reject_reason string, batch_id int", f"{sink}/rejected").drop("batch_id")
+
+
+def stream_message_shape(spark: SparkSession, source: str, key: str, sink: str, checkpoint: str) -> DataFrame:
+    """Consumes the JSON messages under ``source`` with routing key ``key``; (n_rows, n_cols) of each."""
+    messages = spark.readStream.schema("routing_key string, body string").json(source)
+    query = shape(route(messages, key)).writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", sink).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return _read(spark, "n_rows long, n_cols long", sink)
 
 
 def stream_report_replace(spark: SparkSession, source: str, sink: str, checkpoint: str) -> DataFrame:
-    """Consumes HTML messages (msg_id, html); the table of the newest message that has records."""
+    """Consumes HTML messages (msg_id, html); the table of the newest message that has records, empty if none has."""
     messages = spark.readStream.schema("msg_id long, html string").json(source)
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -43,4 +65,4 @@ def stream_report_replace(spark: SparkSession, source: str, sink: str, checkpoin
 
     query = messages.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(write).start()
     query.awaitTermination()
-    return spark.read.parquet(sink)
+    return _read(spark, _REPORT, sink)

@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from navspark.functions import text as X
-from navspark.operators import calendar, contracts, messages, points, quotes, report, sheets
+from navspark.operators import calendar, contracts, links, messages, points, quotes, report, sheets
 from navspark.sources import html, workbook
+from navspark.streaming import messages as streams
 
 
 def page(rows, columns, title="T"):
@@ -107,6 +108,7 @@ def test_strip_takes_any_space(spark):
 def test_row_spans_are_set_aside(spark):
     pages = spark.createDataFrame([("a", '<table><tr><td rowspan="2">x</td></tr></table>'), ("b", page(NAV, 4))], "file string, html string")
     assert [r.file for r in html.unsupported(pages).collect()] == ["a"]
+    assert {r.file for r in html.table_rows(pages).collect()} == {"b"}
 
 
 def test_ffill_chunked_equals_one_window(spark):
@@ -165,3 +167,40 @@ def test_calendar_and_quotes(spark):
     q = spark.createDataFrame([("a", 1, 1, 5.0), ("a", 1, 2, 6.0), ("b", 3, 1, 7.0)], "k string, t int, i int, v double")
     assert {r.k: r.nav for r in quotes.latest_quote(q, "k", "t", "i", "v").collect()} == {"a": 6.0, "b": 7.0}
     assert quotes.nav_history_json(q, "k", "a", "t", "v").first().history == '[{"time":1,"nav":5.0},{"time":1,"nav":6.0}]'
+
+
+def test_first_link_of_every_cell(spark):
+    cell = lambda kind, inner: f"<td class='{kind}'>{inner}</td>"
+    body = cell("x", '<a href="/1">a</a><a href="/2">b</a>') + cell("y", '<a href="/3">c</a>') + cell("w x z", "<A HREF='/4'>d</A>") + cell("x", "none") + cell("xx", '<a href="/5">e</a>')
+    page_html = f'<a href="/0">o</a><table><tr>{cell("x", "<a href=/9>n</a>")}</tr></table><table class="t"><tr>{body}</tr></table>'
+    pages = spark.createDataFrame([(1, page_html), (2, "no table"), (3, None)], "k long, html string")
+    assert [tuple(r) for r in links.cell_first_links(pages, "k", F.col("html"), "t", "x").collect()] == [(1, 0, "/1"), (1, 1, "/4")]
+
+
+def test_shape_is_that_of_the_body(spark):
+    sent = spark.createDataFrame([(1, '{"0":{"a":1,"b":null,"c":"x"},"1":{"a":2}}'), (2, "{}"), (3, "no json"), (4, None)], "k long, body string")
+    got = {r.k: (r.n_rows, r.n_cols) for r in messages.shape(sent, "k").collect()}
+    assert got[1] == (2, 3) and got[2] == (0, 0) and got[3][0] in (None, 0, -1)
+
+
+def test_records_are_ordered_by_number(spark):
+    df = spark.createDataFrame([(1, i) for i in (10, 2, 0, 1, 11)], "k long, i long")
+    assert messages.encode(df, ["k"], F.lit("x"), F.col("i"), ["i"]).first().body == '{"0":{"i":0},"1":{"i":1},"2":{"i":2},"10":{"i":10},"11":{"i":11}}'
+
+
+def test_stream_without_records(spark, tmp_path):
+    pages = spark.createDataFrame([(1, html.NO_RECORDS), (2, None)], "msg_id long, html string")
+    pages.write.json(f"{tmp_path}/in")
+    done = streams.stream_report_replace(spark, f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/state")
+    assert done.count() == 0 and "nav" in done.columns
+
+
+def test_folders_of_reports_and_workbooks(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / name).mkdir()
+        (tmp_path / name / "r.html").write_text(page(NAV, 4) if name == "a" else html.NO_RECORDS)
+        (tmp_path / name / "w.xlsx").write_bytes(workbook.write_workbook({"One": [["a"], [name]], "Two": [["x"]]}))
+    books = workbook.workbook_rows(workbook.read_workbooks(spark, str(tmp_path)))
+    assert sorted((r.path.split("/")[-2], r.sheet, r.cells[0]) for r in books.collect()) == sorted((n, *x) for n in "ab" for x in (("One", n), ("One", "a"), ("Two", "x")))
+    reports = html.read_reports(spark, f"{tmp_path}/*/r.html")
+    assert reports.count() == 2 and html.table_rows(html.non_empty(reports), "path").count() == len(NAV)
