@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from navspark.llm.arrow_text import runs, text_bytes
-from navspark.llm.common import cut, stored
+from navspark.llm.common import cut, drop_stored, stored
 
 LENGTH = 200
 KEY = 40
@@ -180,8 +180,8 @@ def _bloom(docs: DataFrame, length: int, key: int) -> np.ndarray | None:
     return out
 
 
-def _settle(rows: DataFrame, group: list[str], variant: list[str], rep: list[str]) -> tuple[DataFrame, DataFrame]:
-    """(repeated rows, what the next round compares).
+def _settle(rows: DataFrame, group: list[str], variant: list[str], rep: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(repeated rows, what the next round compares, the stored table that both are read from).
 
     ``rows`` has ``single``: whether the row stands for text that is still open
     (else it is only there to be compared with). The second result has a row
@@ -198,7 +198,7 @@ def _settle(rows: DataFrame, group: list[str], variant: list[str], rep: list[str
     repeated = variants.where((F.col("m") > 1) & (F.col("s") == 1)).select(*group, *variant)
     left = variants.join(groups.where("n > 1 AND open = 1").select(*group), group)
     left = left.select(*group, *variant, "rep.*", ((F.col("m") == 1) & (F.col("s") == 1)).alias("single"))
-    return rows.where("single").join(repeated, [*group, *variant], "left_semi"), left
+    return rows.where("single").join(repeated, [*group, *variant], "left_semi"), left, variants
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -278,21 +278,28 @@ def _split(open_ranges: DataFrame, size: int, length: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, key: int = KEY, sizes: tuple[int, ...] = SIZES) -> DataFrame:
-    """doc_id, th, start, end of byte ranges whose windows occur elsewhere; ``docs`` has doc_id, text, th."""
+    """doc_id, th, start, end of byte ranges whose windows occur elsewhere; ``docs`` has doc_id, text, th.
+
+    Tables of a round are deleted once the next one has read them.
+    """
     rows = stored(_rows(docs, length, key, _bloom(docs, length, key), False).withColumn("single", F.lit(True)))
-    repeated, left = _settle(rows, ["name"], ["lo", "hi", "u"], ["doc_id", "th", "a"])
-    spans = [repeated.select("doc_id", "th", (F.col("a") - F.col("hi")).alias("start"), (F.col("a") - F.col("lo") + length).alias("end"))]
+    repeated, left, variants = _settle(rows, ["name"], ["lo", "hi", "u"], ["doc_id", "th", "a"])
+    spans = [stored(repeated.select("doc_id", "th", (F.col("a") - F.col("hi")).alias("start"), (F.col("a") - F.col("lo") + length).alias("end")))]
     contexts = stored(_contexts(docs, left, length))
+    drop_stored(rows, variants)
     ranges = contexts.withColumns({"part_lo": F.col("lo"), "part_hi": F.col("hi")})
     same = ["name", "u", "lo", "hi"]
+    behind = []
     for size in sizes:
         parts = _split(ranges, size, length)
-        repeated, left = _settle(parts, ["name", "d", "core"], ["part_lo", "part_hi", "part"], ["u", "lo", "hi"])
-        spans.append(
-            repeated.select("doc_id", "th", (F.col("a") - F.col("part_hi")).alias("start"), (F.col("a") - F.col("part_lo") + length).alias("end"))
-        )
+        repeated, left, variants = _settle(parts, ["name", "d", "core"], ["part_lo", "part_hi", "part"], ["u", "lo", "hi"])
+        ends = [(F.col("a") - F.col("part_hi")).alias("start"), (F.col("a") - F.col("part_lo") + length).alias("end")]
+        spans.append(stored(repeated.select("doc_id", "th", *ends)))
+        drop_stored(*behind)
+        behind = [variants]
         if size > 1:
             ranges = contexts.drop("single").join(left.select(*same, "part_lo", "part_hi", "single"), same)
+    drop_stored(contexts, *behind)
     out = spans[0]
     for more in spans[1:]:
         out = out.unionByName(more)
