@@ -11,9 +11,10 @@ texts have in a share of the training texts, under models of the other training
 texts; the models that judge are those of all.
 
 A gram packs four 16-bit characters into 64 bits (characters beyond the basic
-plane are hashed into 16 bits). The models hold one row for each distinct
-4-gram of the corpus; more than MAX_GRAMS of them raise an error rather than
-being dropped.
+plane are hashed into 16 bits). Up to MAX_GRAMS distinct 4-grams the arrays are
+held by each task. Beyond, the same models are Spark tables, as sorted by hash as
+a join sorts them: the 4-grams of the documents are looked up order by order, and
+their log probabilities are summed by document. Both ways give the same results.
 
 Defined results: null text, or text without a letter, is ``und`` with score 0.
 Without training text every document is ``und`` with score 0. Of languages with
@@ -31,10 +32,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from navspark.llm.common import cut
+from navspark.llm.common import cut, fresh, stored
 
 ORDER = 4
 MAX_GRAMS = 8_000_000
+#: Beyond MAX_GRAMS: a gram that makes up more than this share of the looked up rows is broadcast; at most 1 / HOT are.
+HOT = 1e-4
 #: Share of unseen texts of a language that lie beyond the rejection threshold.
 REJECT = 0.001
 #: One training text in so many is unseen by the models that the thresholds are taken from.
@@ -211,11 +214,106 @@ def build(langs: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -
     return Models(langs, keys, logs, contexts, backoff)
 
 
-def train_models(train: DataFrame) -> tuple[Models, Models | None] | None:
+@dataclass
+class Tables:
+    """The models as stored tables. ``own[k]``: lang, gram, p (what a seen gram of order k + 1 has beside its share of the lower order).
+
+    ``backoff[k]``: lang, context, w. ``characters``: how many distinct ones any language has.
+    """
+
+    langs: list[str]
+    own: list[DataFrame]
+    backoff: list[DataFrame]
+    characters: int
+
+
+def _suffix(order: int) -> Column:
+    return F.col("gram").bitwiseAND(F.lit((1 << (16 * order)) - 1)) if order < ORDER else F.col("gram")
+
+
+def _context(order: int) -> Column:
+    return F.shiftrightunsigned("gram", 16) if order > 1 else F.lit(0).cast("long")
+
+
+def build_tables(langs: list[str], counts: DataFrame) -> Tables:
+    """What ``build`` makes, of any number of ``counts`` (lang, gram, n)."""
+    own, backoff = [], []
+    for order in range(ORDER, 0, -1):
+        ones, twos = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)
+        discount = counts.groupBy("lang").agg(F.least(F.greatest(ones / F.greatest(ones + 2 * twos, F.lit(1)), F.lit(0.1)), F.lit(0.9)).alias("d"))
+        known = counts.withColumn("context", _context(order)).join(F.broadcast(discount), "lang")  # one row a language
+        by = known.groupBy("lang", "context").agg(F.sum("n").alias("total"), (F.sum("d") / F.sum("n")).alias("w"))
+        by = stored(by)
+        own.insert(0, stored(known.join(by, ["lang", "context"]).select("lang", "gram", ((F.col("n") - F.col("d")) / F.col("total")).alias("p"))))
+        backoff.insert(0, by.select("lang", "context", "w"))
+        if order > 1:
+            counts = stored(counts.groupBy("lang", _suffix(order - 1).alias("gram")).agg(F.count("*").alias("n")))
+    return Tables(langs, own, backoff, own[0].select("gram").distinct().count())
+
+
+def _log_table(grams: DataFrame, models: Tables) -> DataFrame:
+    """gram and l0, l1, ... (its log probability in each language) for the distinct ``grams`` (gram)."""
+    needed = [grams]
+    for order in range(ORDER - 1, 0, -1):
+        needed.insert(0, needed[0].select(_suffix(order).alias("gram")).distinct())
+    below = None
+    for order in range(1, ORDER + 1):
+        each = needed[order - 1].select("gram", F.explode(F.array(*[F.lit(x) for x in models.langs])).alias("lang"), _context(order).alias("context"))
+        each = each.join(models.own[order - 1], ["lang", "gram"], "left").join(models.backoff[order - 1], ["lang", "context"], "left")
+        p, w = F.coalesce("p", F.lit(0.0)), F.coalesce("w", F.lit(1.0))
+        if below is None:
+            seen = models.own[0].select("gram").distinct().withColumn("seen", F.lit(True))
+            q = F.when(F.col("seen"), p + w / (models.characters + 1)).otherwise(_UNKNOWN)
+            made = each.join(seen, "gram", "left")
+        else:
+            q = p + w * F.col("q")
+            made = each.withColumn("lower", _suffix(order - 1)).join(below.select("lang", F.col("gram").alias("lower"), "q"), ["lang", "lower"])
+        below = stored(made.select("lang", "gram", q.alias("q")))
+    logs = [F.max(F.when(F.col("lang") == x, F.log(F.greatest("q", F.lit(_UNKNOWN * 1e-3))))).alias(f"l{i}") for i, x in enumerate(models.langs)]
+    return stored(below.groupBy("gram").agg(*logs))
+
+
+def _judge_by_tables(df: DataFrame, models: Tables, keep: list[str]) -> DataFrame:
+    own = fresh(df, "nv_row")[0]
+    rows = stored(df.select(*dict.fromkeys([*keep, "text"]), F.monotonically_increasing_id().alias(own)))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text in zip(batch.column("r").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                grams, n = np.unique(_grams(_codes([text])[0], ORDER), return_counts=True)
+                same = [pa.array(np.full(len(grams), x)) for x in (row, _LETTER.search(text) is not None)]
+                yield pa.RecordBatch.from_arrays([same[0], pa.array(grams.view(np.int64)), pa.array(n.astype(np.int64)), same[1]], ["r", "gram", "n", "letter"])
+
+    texts = rows.where("text != ''").select(F.col(own).alias("r"), "text")
+    found = stored(texts.mapInArrow(count, "r long, gram long, n long, letter boolean"))
+    often = stored(found.groupBy("gram").agg(F.count("*").alias("rows")))
+    logs = _log_table(often.select("gram"), models)
+    hot = often.where(F.col("rows") > HOT * found.count()).select("gram")  # at most 1 / HOT rows
+    common = F.broadcast(logs.join(F.broadcast(hot), "gram", "left_semi"))
+    rare = found.join(F.broadcast(hot), "gram", "left_anti").join(logs, "gram")
+    looked = found.join(common, "gram").unionByName(rare)
+    size = F.sum("n")
+    h = F.array(*[-F.sum(F.col("n") * F.col(f"l{i}")) / size for i in range(len(models.langs))])
+    judged = looked.groupBy("r").agg(h.alias("h"), F.bool_or("letter").alias("letter")).withColumn("least", F.array_min("h"))
+    odds = F.aggregate("h", F.lit(0.0), lambda total, x: total + F.exp(-SHARPNESS * (x - F.col("least"))))
+    names = F.array(*[F.lit(x) for x in models.langs])
+    judged = judged.select(
+        F.col("r").alias(own),
+        F.when(F.col("letter"), F.element_at(names, F.array_position("h", F.col("least")).cast("int"))).alias("nv_lang"),
+        F.when(F.col("letter"), 1 / odds).alias("nv_odds"),
+        F.col("least").alias("nv_least"),
+    )
+    made = [F.coalesce("nv_lang", F.lit("und")).alias("lang_pred"), F.coalesce("nv_odds", F.lit(0.0)).alias("score"), F.coalesce("nv_least", F.lit(0.0)).alias("cross_entropy")]
+    return rows.join(judged, own, "left").select(*keep, *made)
+
+
+def train_models(train: DataFrame) -> tuple[Models | Tables, Models | Tables | None] | None:
     """Models of all rows of ``train`` (text, lang, unseen; no nulls), and those of its rows that are not unseen."""
     counts = cut(gram_counts(train))
     if counts.count() > MAX_GRAMS:
-        raise ValueError(f"more than {MAX_GRAMS} distinct {ORDER}-grams: raise MAX_GRAMS")
+        langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())  # one row a language
+        seen = counts.select("lang", "gram", (F.col("n") - F.col("n_unseen")).alias("n")).where("n > 0")
+        return build_tables(langs, counts.select("lang", "gram", "n")), None if seen.isEmpty() else build_tables(langs, seen)
     table = counts.toPandas()  # at most MAX_GRAMS rows
     if not len(table):
         return None
@@ -228,7 +326,10 @@ def train_models(train: DataFrame) -> tuple[Models, Models | None] | None:
     return build(langs, lang, gram, n), part
 
 
-def _judge(df: DataFrame, models: Models, keep: list[str]) -> DataFrame:
+def _judge(df: DataFrame, models: Models | Tables, keep: list[str]) -> DataFrame:
+    """``keep`` columns, lang_pred, score and cross_entropy of each row."""
+    if isinstance(models, Tables):
+        return _judge_by_tables(df, models, keep)
     kept = df.select(*dict.fromkeys([*keep, "text"]))
     types = {f.name: f.dataType.simpleString() for f in kept.schema}
     schema = ", ".join(f"`{c}` {types[c]}" for c in keep) + ", lang_pred string, score double, cross_entropy double"

@@ -170,6 +170,22 @@ def test_models_equal_plain_kneser_ney():
         assert abs(models.cross_entropy([text])[0, 0] - want) < 1e-3
 
 
+def test_models_as_tables_give_the_same(spark, documents, odd, monkeypatch):
+    """More grams than MAX_GRAMS: the models stay Spark tables, looked up by joins."""
+    docs = documents.select("doc_id", "text", "lang").unionByName(odd.select(F.col("doc_id") - 1000, "text", F.lit(None).cast("string").alias("lang")).toDF("doc_id", "text", "lang"))
+    train = fold(F.coalesce(F.col("doc_id"), F.lit(0)), 4) != 2
+
+    def judged():
+        rows = language_id.identify(docs, train, ["doc_id", "text"]).collect()
+        return sorted(((r.doc_id is None, r.doc_id or 0, r.text or "", r.lang_pred, r.rejected), r.score) for r in rows)
+
+    want = judged()
+    monkeypatch.setattr(language_id, "MAX_GRAMS", 0)
+    got = judged()
+    assert [k for k, _ in got] == [k for k, _ in want]
+    assert np.allclose([s for _, s in got], [s for _, s in want], atol=1e-4)
+
+
 def test_rejection_limits_come_from_unseen_texts(spark):
     words = [f"{a}{b}{c}" for a in "abcdef" for b in "aeiou" for c in "lmnr"]
     rnd = np.random.RandomState(3)
