@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from navspark.llm import decontamination, exact_dedup, language_id, minhash, packing, quality, secrets, substrings, toxicity, urls
+from navspark.llm import decontamination, exact_dedup, language_id, minhash, packing, periodic, quality, secrets, substrings, toxicity, urls, whitening
 from navspark.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -100,6 +100,39 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(TOKENIZER))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """The documents, of which one in ten ends in words that repeat, as the contract of op13 puts it."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    words = docs.select("doc_id", "text", h.alias("h")).withColumn("w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
+    g, n = F.floor(F.col("h") / 10), F.size("w")
+    placed = words.withColumns({"a": F.when(n > 0, (g % n).cast("int")), "p": (F.lit(3) + g % 8).cast("int")})
+    placed = placed.withColumn("p", F.floor((n - F.col("a")) / F.col("p")).cast("int") + 1)
+    tail = F.transform(F.sequence("a", n - 1), lambda i: F.get("w", F.col("a") + (i - F.col("a")) % F.col("p")))
+    planted = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), tail), " ")
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(_with_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    rows = found.withColumn("best", best)
+    return rows.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("(1000 * best.length) div -best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_exact_dedup": op2_exact_dedup,
@@ -111,6 +144,8 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_language_id": op9_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _HOST = r"translate(coalesce(regexp_extract(url, '^[\s\S]*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
