@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
+from collections.abc import Iterator
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from navspark.llm import decontamination, exact_dedup, language_id, minhash, packing, periodic, quality, secrets, substrings, toxicity, urls, whitening
+from navspark.llm import chat, decontamination, exact_dedup, language_id, minhash, packing, periodic, quality, secrets, substrings, toxicity, urls, whitening
 from navspark.llm.common import fold, table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -100,6 +105,78 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(TOKENIZER))
 
 
+#: A record of op11 holds turns of so many bytes, each counted as TURN_BYTES more; one longer turn at least.
+RECORD_BYTES, TURN_BYTES = 4 << 20, 64 << 10
+
+
+def _chat_records(rows: DataFrame) -> DataFrame:
+    """(conv_id, part, record): conversations as JSON records of the layouts that their turns fit, the layout chosen by the id.
+
+    A long conversation gives several records, so that none is unbounded.
+    """
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    before = F.coalesce(F.sum(F.octet_length("text") + TURN_BYTES).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = rows.withColumns({"place": F.row_number().over(order), "part": F.floor(before / RECORD_BYTES)})
+    listed = F.sort_array(F.collect_list(F.struct("place", "role", "text")))  # bounded by RECORD_BYTES and one turn
+    parts = placed.groupBy("conv_id", "part").agg(listed.alias("turns"))
+    roles, kind = F.transform("turns", lambda t: t["role"]), F.pmod(F.xxhash64("conv_id"), F.lit(4))
+    text = lambda i: F.get("turns", F.lit(i))["text"]
+    pair, triple = (roles == F.array(*map(F.lit, names)) for names in (("user", "assistant"), ("system", "user", "assistant")))
+    plain = F.forall("turns", lambda t: t["role"].isin("system", "user", "assistant"))
+    speaker = lambda t: F.when(t["role"] == "user", "human").when(t["role"] == "assistant", "gpt").otherwise(t["role"])
+    items = lambda role, value, name: F.transform("turns", lambda t: F.struct(name(t).alias(role), t["text"].alias(value)))
+    same = lambda t: t["role"]
+    record = (
+        F.when(pair & (kind < 2), F.to_json(F.struct(text(0).alias("instruction"), F.lit("").alias("input"), text(1).alias("output"))))
+        .when(pair & (kind == 2), F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("response"), F.col("conv_id").alias("id"))))
+        .when(triple & (kind == 2), F.to_json(F.struct(text(0).alias("system"), text(1).alias("prompt"), text(2).alias("completion"))))
+        .when(plain & (kind == 1), F.to_json(F.struct(items("from", "value", speaker).alias("conversations"))))
+        .when(plain & (kind == 3), F.to_json(F.struct(F.struct(items("speaker", "utterance", same).alias("dialogue")).alias("data"))))
+        .otherwise(F.to_json(F.struct(items("role", "content", same).alias("messages"))))
+    )
+    return parts.select("conv_id", "part", record.alias("record"))
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each conversation from its parts, which come one after the other; no more than a batch of them is held."""
+    names, open_id = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"], (False, None)
+    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+    for batch in itertools.chain(batches, [None]):
+        done = []
+        rows = [(False, *[None] * 6)] if batch is None else [(True, *r.values()) for r in batch.to_pylist()]
+        for there, conv_id, n, text, loss_text, chars, loss_chars in rows:
+            if open_id != (there, conv_id):
+                if open_id[0]:
+                    done.append((open_id[1], counts[0], turns.hexdigest(), counts[1], loss.hexdigest(), counts[2]))
+                open_id, turns, loss, counts = (there, conv_id), hashlib.sha256(), hashlib.sha256(), [0, 0, 0]
+            if there:
+                turns.update(text.encode())
+                loss.update(loss_text.encode())
+                counts = [a + b for a, b in zip(counts, (n, loss_chars, chars), strict=True)]
+        columns = zip(*done, strict=True) if done else [[]] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def op11_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as records of several layouts, formatted; digests of what the formatted text and its mask give back."""
+    own = spark.createDataFrame([(-1, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    made = chat.format_records(_chat_records(rows.fillna("", ["role", "text"]))).select("conv_id", "part", "formatted", "loss_spans")
+    read = made.select("conv_id", "part", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.loss_texts(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    back = read.select(
+        "conv_id",
+        "part",
+        F.size("turns").cast("long").alias("n"),
+        F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").alias("turns_text"),
+        F.array_join("loss", "").alias("loss_text"),
+        F.length("formatted").cast("long").alias("chars"),
+        F.length(F.array_join("loss", "")).cast("long").alias("loss_chars"),
+    )
+    digest = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    ordered = back.repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    return ordered.select("conv_id", "n", "turns_text", "loss_text", "chars", "loss_chars").mapInArrow(_digests, digest)
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -144,6 +221,7 @@ QUERIES = {
     "op8_suffix_array_dedup": op8_suffix_array_dedup,
     "op9_language_id": op9_language_id,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_chat_format": op11_chat_format,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_periodic_runs": op13_periodic_runs,
 }
