@@ -34,12 +34,14 @@ all are null).
 
 from __future__ import annotations
 
+import hashlib
 from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,8 +56,8 @@ ORDERS, PARTS, LEAST = 8, 4, 5
 ROUNDS = 2
 #: How many members of a component are drawn each time.
 DRAWS = 3
-#: A block of the exact finish has about so many texts and compressed bytes at most (but one text at least).
-BLOCK_TEXTS, BLOCK_BYTES = 1024, 1_500_000
+#: A block of the exact finish has about so many texts and shingles at most (but one text at least).
+BLOCK_TEXTS, BLOCK_SHINGLES = 1024, 500_000
 #: Bits that stand for the shingles of a text there, at most.
 MAX_BITS = 1 << 16
 
@@ -63,6 +65,10 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _UNDO = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _FOLD = np.uint64(0xD6E8FEB86659FD93)
 _RUN_BYTES = 1 << 20
+#: Words of more bytes are hashed by themselves.
+LONG_WORD = 64
+_LOW = np.arange(256, dtype=np.uint8)
+_LOW[65:91] += 32
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
@@ -91,17 +97,30 @@ def _spans(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return _mix((sums[end] - sums[start]) * _powers(_UNDO, len(values) + 1)[start])
 
 
-def text_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, offsets of each text among them)."""
-    value, word = _tables()
+def _word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start and end of every word, which bytes are part of words)."""
+    _, word = _tables()
     inside = word[data]
     before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
     before[1:], after[:-1] = inside[:-1], inside[1:]
     edge = offsets[(offsets > 0) & (offsets < len(data))]
     before[edge] = False
     after[edge - 1] = False
-    start, end = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1
-    return _spans(value[data], start, end), np.searchsorted(start, offsets)
+    return np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after) + 1, inside
+
+
+def _word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    value, _ = _tables()
+    out = _spans(value[data], start, end)
+    for i in np.flatnonzero(end - start > LONG_WORD).tolist():  # sums of powers tell long texts of two letters badly apart
+        out[i] = xxhash.xxh3_64_intdigest(_LOW[data[start[i] : end[i]]].tobytes())
+    return out
+
+
+def text_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, offsets of each text among them)."""
+    start, end, _ = _word_spans(data, offsets)
+    return _word_hashes(data, start, end), np.searchsorted(start, offsets)
 
 
 def shingles(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +172,7 @@ def sketch(labelled: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, rid, th (hash of the text), k1, k2 (its words as two hashes), n_words, buckets for each row."""
+    """doc_id, rid, th (hash of the text), k1, k2 (128 bits of the SHA-256 of its words), n_words, buckets for each row."""
     rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("rid"), F.xxhash64("text").alias("th"))
     kind = dict(rows.dtypes)["doc_id"]
 
@@ -181,14 +200,22 @@ def _short_runs(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def _identity(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    words, begin = text_words(data, offsets)
-    k1 = _spans(words, begin[:-1], begin[1:])
-    k2 = _spans(_mix(words + _FOLD), begin[:-1], begin[1:])
-    return k1.view(np.int64), k2.view(np.int64), np.diff(begin).astype(np.int64), words, begin
+    """(two halves of a digest of each text's words joined by a space, number of words, word hashes, offsets of each text among them)."""
+    start, end, inside = _word_spans(data, offsets)
+    begin = np.searchsorted(start, offsets)
+    again = np.ones(len(start), bool)
+    again[begin[1:][np.diff(begin) > 0] - 1] = False  # the last word of a text has none after it
+    kept = inside.copy()
+    kept[end[again]] = True
+    plain = np.where(inside, _LOW[data], 0x20)[kept].astype(np.uint8)
+    at = np.append(0, np.cumsum(kept))[offsets]
+    digests = b"".join(hashlib.sha256(plain[a:b]).digest()[:16] for a, b in zip(at[:-1], at[1:], strict=True))
+    halves = np.frombuffer(digests, np.int64).reshape(-1, 2)
+    return halves[:, 0].copy(), halves[:, 1].copy(), np.diff(begin).astype(np.int64), _word_hashes(data, start, end), begin
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    """k1, k2, z: texts, compressed, by the hashes of their words."""
+    """k1, k2, z: texts, compressed, by the digest of their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
@@ -347,7 +374,7 @@ def _shingle_rows(texts: DataFrame) -> DataFrame:
 
 
 def _linkable(star: DataFrame, labels: DataFrame, n_labels: int, texts: DataFrame, threshold: float) -> DataFrame:
-    """(node, comp, z), stored, of the nodes of ``star`` that may be at ``threshold`` with a text of another component.
+    """(node, comp, z, n: its shingles), stored, of the nodes of ``star`` that may be at ``threshold`` with a text of another component.
 
     At least the threshold's share of such a text's shingles occur in other
     components. Texts that share less with all of them together, most of those
@@ -358,7 +385,7 @@ def _linkable(star: DataFrame, labels: DataFrame, n_labels: int, texts: DataFram
     rows = _shingle_rows(opened)
     shared = rows.groupBy("s").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 != c2").select("s")
     enough = rows.join(shared, "s").groupBy("node", "n").agg(F.count("*").alias("m")).where(F.col("m") >= threshold * F.col("n") - 1e-9)
-    out = stored(opened.join(small(enough.select("node"), n_labels), "node"))
+    out = stored(opened.join(small(enough.select("node", "n"), n_labels), "node"))
     drop_stored(opened)
     return out
 
@@ -383,10 +410,10 @@ def _exact_links(buckets: DataFrame, labels: DataFrame, n_labels: int, tested: D
     alone = stored(known.withColumn("comp", F.col("node")), n_labels)
     ends = stored(star.join(small(nodes.select(F.col("node").alias("b")), n_labels), "b", "left_semi").where("a != b"), n_labels)
     clusters = merge_components(alone, n_labels, ends)
-    sized = nodes.select("node", "comp", F.length("z").alias("n"))
+    sized = nodes.select("node", "comp", "n")
     placed = stored(sized.join(small(clusters.toDF("node", "cluster"), n_labels), "node"), n_labels)
     blocks = placed.groupBy("cluster").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("n") / BLOCK_BYTES)).cast("int").alias("blocks"), F.min("comp").alias("c1"), F.max("comp").alias("c2")
+        F.ceil(F.greatest(F.count("*") / BLOCK_TEXTS, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"), F.min("comp").alias("c1"), F.max("comp").alias("c2")
     )
     blocks = blocks.where("c1 != c2").select("cluster", "blocks")
     own, other = F.pmod(F.xxhash64("node"), "blocks").cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
@@ -397,7 +424,7 @@ def _exact_links(buckets: DataFrame, labels: DataFrame, n_labels: int, tested: D
         links = _block_links(group, threshold)
         return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
 
-    both = dealt.join(nodes, "node").select("cluster", "i", "j", "node", "comp", "second", "z")
+    both = dealt.join(nodes.select("node", "comp", "z"), "node").select("cluster", "i", "j", "node", "comp", "second", "z")
     out = stored(both.groupBy("cluster", "i", "j").applyInArrow(run, "a long, b long"))
     drop_stored(star, alone, ends, clusters, placed, nodes)
     return out

@@ -148,3 +148,17 @@ def test_buckets_of_texts_beyond_a_million_shingles():
     short = a[: 1 << 19]  # the same buckets whether it stands alone or behind a long text
     both = minhash.sketch(np.concatenate([a, short]), np.array([0, len(a), len(a) + len(short)]))
     assert (both[0] == one[0]).all() and (both[1] == minhash.sketch(short, np.array([0, len(short)]))[0]).all()
+
+
+def test_texts_that_sums_of_powers_confuse(spark):
+    """Words, or the letters of a word, in Thue-Morse order and its complement."""
+    turn = [bin(i).count("1") % 2 for i in range(2048)]
+    by_word = [" ".join(("alpha", "beta")[t ^ k] for t in turn) for k in (0, 1)]
+    by_letter = [f"{''.join('ab'[t ^ k] for t in turn)} one two three four" for k in (0, 1)]
+    rows = list(enumerate([*by_word, *by_letter, by_word[0].upper(), f"({by_letter[1]})"]))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = defaultdict(list)
+    for r in got(df):
+        found[r.class_id].append(str(r.doc_id))
+    assert sorted(sorted(g) for g in found.values()) == classes(rows)
+    assert minhash.drop_near_copies(df).count() == 4
