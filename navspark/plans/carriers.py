@@ -111,6 +111,38 @@ def disclosure_pages(supplier: DataFrame) -> DataFrame:
     return supplier.withColumn("nation", F.col("s_nationkey")).groupBy("nation").agg(page.alias("html"))
 
 
+def nested_pages(supplier: DataFrame) -> DataFrame:
+    """(nation, html): a section with sections inside and a table with tables in its cells; most end tags and quotes are left out."""
+    key = F.col("s_suppkey").cast("string")
+    block = F.concat(
+        F.lit("<div><div>1</div><a href=/fund/"), key, F.lit("> x</a><!-- <a href=/no>n</a> --></div><a data-href=/no name=n>n</a><A title='"),
+        F.col("s_name"), F.lit(" &gt; x' HREF=/more/"), key, F.lit(">y</A>"),
+    )
+    cell = F.concat(
+        F.lit('<tr><td class="fund wide"><table><tr><td class=fun><a data-href=/no>n</a><a href=/fund/'), key,
+        F.lit(">x</a><td class='fund'><a href='/more/"), key, F.lit("'>y</a></table><td><a href=/other>o</a>"),
+    )
+    rows = F.array_sort(F.collect_list(F.struct(F.col("s_suppkey").alias("o"), block.alias("b"), cell.alias("c"))))
+    joined = lambda part: F.array_join(F.transform("rows", lambda x: x[part]), "\n")
+    grouped = supplier.withColumn("nation", F.col("s_nationkey")).groupBy("nation").agg(rows.alias("rows"))
+    head, table = "<body><a href=/menu>m</a></div><div class=x id=divMonthlyPortfolio>", "</div><a href=/after>a</a><table class='a funds'>"
+    return grouped.select("nation", F.concat(F.lit(head), joined("b"), F.lit(table), joined("c"), F.lit("</table><div><a href=/end>e</a>")).alias("html"))
+
+
+def spanned_pages(orders: DataFrame) -> DataFrame:
+    """(file, html): tables of the orders of some customers, the customer in a cell that spans its rows."""
+    rows = orders.withColumn("file", F.concat(F.lit("r"), F.expr(f"o_custkey div {REPORT // 10}")))
+    own = Window.partitionBy("file", "o_custkey")
+    first = F.row_number().over(own.orderBy("o_orderkey")) == 1
+    span = F.when(F.count("*").over(own) == 1, "").otherwise(F.concat(F.lit(" rowspan="), F.count("*").over(own).cast("string")))
+    name = F.when(first, F.concat(F.lit("<td"), span, F.lit(">&eacute;"), F.col("o_custkey").cast("string"))).otherwise("")
+    note = F.when(F.col("o_orderkey") % 3 == 0, "<!-- <td>x -->").otherwise("")
+    line = F.concat(F.lit("<tr>"), name, F.lit("<td>"), "o_orderpriority", F.lit(" &#8211; "), F.col("o_orderkey").cast("string"), note, F.lit("<td colspan='2'>"), money(F.col("o_totalprice")))
+    made = rows.select("file", F.struct("o_custkey", "o_orderkey", line.alias("h")).alias("x"))
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["h"]), "\n")
+    return made.groupBy("file").agg(F.concat(F.lit("<p>x<table><tr><th>c<th>o<th>p<th>q"), lines, F.lit("</table><table><tr><td>no</table>")).alias("html"))
+
+
 def write_files(files: DataFrame, folder: str) -> None:
     """Writes (name, content) rows as files of the shared folder, each where its row is."""
 

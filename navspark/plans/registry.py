@@ -10,7 +10,19 @@ from pyspark.sql import functions as F
 from navspark.functions import text as X
 from navspark.functions.shared import new_folder
 from navspark.operators import calendar, contracts, links, messages, points, quotes, report, sheets
-from navspark.plans.carriers import REPORT, disclosure_pages, event_navs, money, order_reports, part_reports, spoiled_navs, table, write_files
+from navspark.plans.carriers import (
+    REPORT,
+    disclosure_pages,
+    event_navs,
+    money,
+    nested_pages,
+    order_reports,
+    part_reports,
+    spanned_pages,
+    spoiled_navs,
+    table,
+    write_files,
+)
 from navspark.sources import html, tabular, workbook
 from navspark.streaming import messages as streams
 
@@ -315,14 +327,12 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    section = links.section(F.col("html"), "div", "divMonthlyPortfolio")
-    found = links.page_links(disclosure_pages(table(spark, sf_dir, "supplier")), "nation", section)
+    found = links.section_links(disclosure_pages(table(spark, sf_dir, "supplier")), "nation", F.col("html"), "div", "divMonthlyPortfolio")
     return found.select("nation", "title", "href")
 
 
 def section_first_link(spark: SparkSession, sf_dir: str) -> DataFrame:
-    section = links.section(F.col("html"), "section", "tab2")
-    return links.page_first_link(disclosure_pages(table(spark, sf_dir, "supplier")), "nation", section)
+    return links.section_first_link(disclosure_pages(table(spark, sf_dir, "supplier")), "nation", F.col("html"), "section", "tab2", "h2")
 
 
 def cell_first_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -330,6 +340,24 @@ def cell_first_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("nation", F.col("cell").cast("long").alias("cell"), "href")
 
 
+def nested_section_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of a section with sections inside, without quotes and with attributes that only look like links."""
+    found = links.section_links(nested_pages(table(spark, sf_dir, "supplier")), "nation", F.col("html"), "div", "divMonthlyPortfolio")
+    return found.select("nation", F.col("pos").cast("long").alias("pos"), "title", "href")
+
+
+def nested_cell_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First links of cells, some of them inside a table in another cell, without end tags."""
+    found = links.cell_first_links(nested_pages(table(spark, sf_dir, "supplier")), "nation", F.col("html"), "funds", "fund")
+    return found.select("nation", F.col("cell").cast("long").alias("cell"), "href")
+
+
+def spanned_table_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables without end tags, whose first cell spans the rows of one customer, with references and notes inside cells."""
+    rows = html.table_rows(spanned_pages(table(spark, sf_dir, "orders")))
+    return rows.select("file", F.col("line_no").cast("long").alias("line_no"), *[F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(4)])
+
+
 def page_first_link(spark: SparkSession, sf_dir: str) -> DataFrame:
     return links.page_first_link(table(spark, sf_dir, "pages"), "page_id", F.col("html"))
 
@@ -352,7 +380,7 @@ QUERIES = {
         constraint_pk, message_encode, message_decode, route_messages, message_shape, stream_nav_points, stream_report_replace,
         availability_calendar, report_fetch_plan, scheme_codes, latest_quote, nav_history, trailing_return, xlsx_rows, header_promote,
         report_folder_rows, nav_value_table, scheme_master, scheme_performance, stream_message_shape, stream_nav_rejects, xlsx_active_rows,
-        section_links, section_first_link, cell_first_links, sheet_text, instrument_names, prompt_render, answer_to_names, batch_infer, page_links, page_first_link, head_rows, flagship,
+        section_links, section_first_link, cell_first_links, nested_section_links, nested_cell_links, spanned_table_rows, sheet_text, instrument_names, prompt_render, answer_to_names, batch_infer, page_links, page_first_link, head_rows, flagship,
     )
 }
 
@@ -488,6 +516,18 @@ SQL = {
     "cell_first_links": """
         SELECT nation, cell, href FROM (SELECT s_nationkey AS nation, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS cell,
             ' /fund/' || s_suppkey AS href, s_suppkey FROM supplier) WHERE s_suppkey % 5 <> 0""",
+    "nested_section_links": """
+        WITH s AS (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS i FROM supplier)
+        SELECT s_nationkey AS nation, 2 * i AS pos, 'No Title' AS title, '/fund/' || s_suppkey AS href FROM s
+        UNION ALL SELECT s_nationkey, 2 * i + 1, s_name || ' > x', '/more/' || s_suppkey FROM s""",
+    "nested_cell_links": """
+        WITH s AS (SELECT *, row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) - 1 AS i FROM supplier)
+        SELECT s_nationkey AS nation, 2 * i AS cell, '/fund/' || s_suppkey AS href FROM s
+        UNION ALL SELECT s_nationkey, 2 * i + 1, '/more/' || s_suppkey FROM s""",
+    "spanned_table_rows": f"""
+        WITH o AS (SELECT *, 'r' || (o_custkey // {REPORT // 10}) AS file FROM orders)
+        SELECT file, row_number() OVER (PARTITION BY file ORDER BY o_custkey, o_orderkey) - 1 AS line_no, 'é' || o_custkey AS c0, o_orderpriority || ' – ' || o_orderkey AS c1,
+            {_PRICE} AS c2, {_PRICE} AS c3 FROM o""",
     "page_first_link": r"""
         SELECT page_id, regexp_extract(html, '<a\s[^>]*href="([^"]*)"[^>]*>', 1) AS href FROM pages WHERE regexp_matches(html, '<a\s[^>]*href="')""",
     "head_rows": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5",

@@ -1,10 +1,12 @@
 """Edge rows of the two report layouts, ISIN fields, headers, quarantine."""
 
 import datetime
+from html import unescape
 
 import pytest
 from pyspark.sql import functions as F
 
+from navspark.functions import markup as M
 from navspark.functions import text as X
 from navspark.operators import calendar, contracts, links, messages, points, quotes, report, sheets
 from navspark.sources import html, workbook
@@ -105,10 +107,65 @@ def test_strip_takes_any_space(spark):
     assert row.v == "a b"
 
 
-def test_row_spans_are_set_aside(spark):
-    pages = spark.createDataFrame([("a", '<table><tr><td rowspan="2">x</td></tr></table>'), ("b", page(NAV, 4))], "file string, html string")
-    assert [r.file for r in html.unsupported(pages).collect()] == ["a"]
-    assert {r.file for r in html.table_rows(pages).collect()} == {"b"}
+T = "<table><tr><th>h<th>h</tr>{}</table>"
+PAGES = {
+    "omit": ("<p>x</p><table><tr><th>a<th>b<tr><td>1<td>2<tr><td>3<td>4</table><table><tr><td>no</table>", [["1", "2"], ["3", "4"]]),
+    "nested": (T.format("<tr><td>a<table><tr><td>in<td>ner</tr></table>z</td><td>b</td></tr><tr><td>c</td><td>d</td></tr>"), [["ainnerz", "b"], ["c", "d"]]),
+    "rows": (T.format('<tr><td rowspan=2>a<td>b<tr><td>c<tr><td>d<td rowspan="3">e'), [["a", "b"], ["a", "c"], ["d", "e"], ["e"], ["e"]]),
+    "both": (T.format("<tr><td rowspan=2 colspan=2>a<td>b<tr><td>c<td>d"), [["a", "a", "b"], ["a", "a", "c", "d"]]),
+    "middle": (T.format("<tr><td>a<td rowspan='2'>b<td>c</tr><tr><td>d</td><td>e</td></tr>"), [["a", "b", "c"], ["d", "b", "e"]]),
+    "references": (T.format("<tr><td>a &#8211; b<td>caf&eacute; &amp;lt; &#x1F600; &#150; &copy 1 &foo; &nbsp;"), [["a – b", "café &lt; 😀 – © 1 &foo;"]]),
+    "hidden": ("<!-- <table><tr><td>c</td></tr></table> --><script>'<table>'</script>" + T.format("<tr><td>1<!-- <td>x --><td>2"), [["1", "2"]]),
+    "parts": ("<table><tfoot><tr><td>f</tfoot><thead><tr><th>h</thead><tbody><tr><td>1</tbody><tr><td>2</table>", [["1"], ["2"], ["f"]]),
+    "no row": ("</table><table><td>h</td><tr><td>1</td></tr><td>2</td><td>3</td><tr></tr></table>", [["1"], ["2", "3"]]),
+    "quoted": (T.format('<tr><td title="a > b" colspan=2>x  y\n z</td></tr>'), [["x y  z", "x y  z"]]),
+    "plain": ("<TABLE border=1>\n<tbody><TR><TD>h</TD></TR>\n<tr class='x'><td><b>1</b></td>\n<td COLSPAN='2'>2,000</td></tr></tbody></table>", [["1", "2000", "2000"]]),
+    "open": ("<table><tr><td>h<tr><td>1", [["1"]]),
+    "none": ("nothing", []),
+    "null": (None, []),
+}
+
+
+def test_tables_of_any_form(spark):
+    df = spark.createDataFrame([(k, h, "x") for k, (h, _) in PAGES.items()] + [("omit", PAGES["both"][0], "y")], "file string, html string, note string")
+    got = {}
+    for r in html.table_rows(df, "file", "note").orderBy("line_no").collect():
+        got.setdefault((r.file, r.note), []).append(r.cells)
+    assert got == {**{(k, "x"): rows for k, (_, rows) in PAGES.items() if rows}, ("omit", "y"): PAGES["both"][1]}
+    assert html.table_rows(df.limit(0)).count() == 0
+
+
+def test_references(spark):
+    texts = ["a &#8211; b", "&amp;lt;", "&#x1F600;", "&#150;", "&copy 1", "&notanentity", "&nbsp", "&#0;", "&#xD800;", "&AMP", "plain", "& &x; &#", "&Aacute;&aacute;", "&#99999999;", "&fjlig;"]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, t string").orderBy("i").select(M.decode_references(F.col("t")).alias("v")).collect()
+    assert [r.v for r in got] == [unescape(t) for t in texts]
+
+
+def test_links_of_nested_elements(spark):
+    pages = {
+        1: "<div id=s><div>1</div>2<a href=/1>x</a></div><a href=/out>y</a>",
+        2: "<a data-href=/no>n</a><div class='d' id='s'><p><a name=x>x</a><a title=' t &amp; u ' href = '/2?a=1&amp;b=2'>x</a><!--</div>--><a href='/3' title=''>e</a><a href>e</a></p>",
+        3: "<table><tr><td id=s><table><tr><td><a href=/4>x</a></table><a href=/5>y</a><td><a href=/out>z</a></table>",
+        4: "<div id=t><a href=/out>x</a></div>",
+        5: None,
+    }
+    df = spark.createDataFrame(list(pages.items()), "k long, html string")
+    of = lambda tag: sorted((r.k, r.title, r.href) for r in links.section_links(df, "k", F.col("html"), tag, "s").collect())
+    assert of("div") == [(1, "No Title", "/1"), (2, "t & u", "/2?a=1&b=2")]
+    assert of("td") == [(3, "No Title", "/4"), (3, "No Title", "/5")]
+    assert {r.k: r.href for r in links.section_first_link(df, "k", F.col("html"), "div", "s").collect()} == {1: "/1", 2: "/2?a=1&b=2"}
+    headed = spark.createDataFrame([(1, "<div id=s><a href=/0>o</a><div><h2>x <a data-href=/no>n</a><a href=/1>a</a></h2></div></div>")], "k long, html string")
+    assert links.section_first_link(headed, "k", F.col("html"), "div", "s", "h2").first().href == "/1"
+    assert {r.k: r.href for r in links.page_first_link(df, "k", F.col("html")).collect()} == {1: "/1", 2: "/2?a=1&b=2", 3: "/4", 4: "/out"}
+
+
+def test_cells_inside_cells(spark):
+    page_html = (
+        "<table class='a t'><tr><td class=x><table><tr><td class='x y'>none<td><a href=/1>a</a></table><a href=/2>b</a>"
+        "<td class=x><table><tr><td class=x><a data-href=/no>n</a><a href=/3>c</a></table></td><td><a href=/4>d</a></table><td class=x><a href=/out>o</a>"
+    )
+    df = spark.createDataFrame([(1, page_html)], "k long, html string")
+    assert sorted(tuple(r) for r in links.cell_first_links(df, "k", F.col("html"), "t", "x").collect()) == [(1, 0, "/1"), (1, 2, "/3"), (1, 3, "/3")]
 
 
 def test_ffill_chunked_equals_one_window(spark):
