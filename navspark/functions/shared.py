@@ -1,4 +1,4 @@
-"""Where a query may write what it reads again."""
+"""Where a query may write what it reads again, and the file system it does that on."""
 
 from __future__ import annotations
 
@@ -18,3 +18,19 @@ def new_folder(spark: SparkSession, name: str) -> str:
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
         named = sc.getCheckpointDir()
     return f"{named}/{name}-{uuid.uuid4().hex}"
+
+
+def file_system(spark: SparkSession, path: str) -> tuple:
+    """(Hadoop's file system of ``path``, the function that makes paths of it)."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, make = file_system(spark, path)
+    return fs.exists(make(path))
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, make = file_system(spark, path)
+    fs.delete(make(path), True)

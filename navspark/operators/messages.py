@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: the record of a NAV message.
 NAV_RECORD = "id bigint, amc_mutual_fund string, mutual_fund_name string, nav string, nav_upload_date_time string, timestamp bigint"
@@ -38,6 +42,54 @@ def route(messages: DataFrame, key: str) -> DataFrame:
     return messages.where(F.col("routing_key") == key)
 
 
+#: So many bindings are broadcast at most; an exchange has some dozens.
+MAX_BINDINGS = 10_000
+
+
+def fan_out(messages: DataFrame, bindings: list[tuple[str, str]]) -> DataFrame:
+    """``messages`` with queue: one row for each queue bound to the message's key; messages without a queue are dropped, as an exchange does.
+
+    ``bindings`` are (routing key, queue); one that is declared twice counts once.
+    """
+    declared = sorted(set(bindings))
+    bound = messages.sparkSession.createDataFrame(declared, "routing_key string, queue string")
+    return messages.join(F.broadcast(bound) if len(declared) <= MAX_BINDINGS else bound, "routing_key")
+
+
+def publish_to_queues(messages: DataFrame, bindings: list[tuple[str, str]], path: str) -> None:
+    """Adds (routing_key, body) of each message to the folder of every queue bound to its key, in one write; ``queue_path`` is what a stream reads."""
+    fan_out(messages, bindings).select("routing_key", "body", "queue").write.mode("append").partitionBy("queue").json(path)
+
+
+def queue_path(path: str, queue: str) -> str:
+    return f"{path}/queue={quote(queue, safe=' -_.~')}"
+
+
+def decode_any(messages: DataFrame) -> DataFrame:
+    """One row per record of messages whose fields nobody has declared: the other columns, idx and every field that any record has.
+
+    One pass merges the schemas of all records, a second one reads them. A field
+    whose values have different kinds is text, JSON for lists and objects; one
+    that is always null is a null text. Bodies that are no JSON object of
+    objects have no records.
+    """
+    own = [c for c in messages.columns if c != "body"]
+    parsed = messages.withColumn("nv_m", F.from_json("body", "map<string,variant>"))
+    rows = parsed.select(*own, F.explode_outer("nv_m").alias("idx", "nv_rec")).where(F.schema_of_variant("nv_rec").startswith("OBJECT<"))
+    merged = rows.agg(F.schema_of_variant_agg("nv_rec")).first()[0]
+    fields = [] if merged in (None, "VOID", "OBJECT<>") else T.StructType.fromDDL(_ddl(merged)[len("STRUCT<") : -1]).fields
+    mixed = lambda kind: "variant" in kind.simpleString()
+    kinds = {f.name: "string" if mixed(f.dataType) or isinstance(f.dataType, T.NullType) else f.dataType.simpleString() for f in fields}
+    fielded = rows.withColumn("nv_map", F.col("nv_rec").cast("map<string,variant>"))
+    value = lambda name, kind: F.try_variant_get(F.try_element_at("nv_map", F.lit(name)), "$", kind)
+    return fielded.select(*own, "idx", *[value(name, kind).alias(name) for name, kind in kinds.items()])
+
+
+def _ddl(schema: str) -> str:
+    """The schema of a variant as DDL of a struct."""
+    return re.sub(r"\bOBJECT<", "STRUCT<", schema)
+
+
 def shape(messages: DataFrame, *key: str) -> DataFrame:
     """(``key``, n_rows, n_cols) of the table in each message, as its body has it: the records, and all field names they use."""
     records = F.from_json("body", "map<string,map<string,string>>")

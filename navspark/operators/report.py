@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -121,15 +122,16 @@ CHUNKS = 4096
 def ffill_chunked(df: DataFrame, order: str, value: Column, name: str, chunks: int = CHUNKS) -> DataFrame:
     """``df`` with ``name``: the last non-null ``value`` up to each row of one long sequence.
 
-    The sequence is cut into ranges of the (numeric) order column; each is
-    filled by itself, and what the ranges before it end with is carried over a
-    table of one row per range.
+    The sequence is cut into ranges of about as many rows each, by sampled
+    quantiles of the (numeric) order column; each is filled by itself, and what
+    the ranges before it end with is carried over a table of one row per range.
     """
-    low, high = df.agg(F.min(order), F.max(order)).first()
-    if low is None:
-        return df.withColumn(name, value)
-    width = max(1, -(-(high - low + 1) // chunks))
-    cut = df.withColumns({"nv_value": value, "nv_chunk": F.floor((F.col(order) - F.lit(low)) / width)})
+    at = F.col(order).cast("double")
+    bounds = df.agg(F.percentile_approx(at, [k / chunks for k in range(1, chunks)], 10 * chunks)).first()[0] if chunks > 1 else []
+    inner = sorted({b for b in bounds or [] if abs(b) != float("inf")})
+    bucket = Bucketizer(splits=[-float("inf"), *inner, float("inf")], inputCol="nv_at", outputCol="nv_chunk", handleInvalid="keep")
+    placed = bucket.transform(df.withColumns({"nv_value": value, "nv_at": at})) if inner else df.withColumns({"nv_value": value, "nv_at": at, "nv_chunk": F.lit(0)})
+    cut = placed.withColumn("nv_chunk", F.when(F.col("nv_at").isNotNull(), F.col("nv_chunk").cast("long"))).drop("nv_at")
     ends = cut.where("nv_value IS NOT NULL").groupBy("nv_chunk").agg(F.max_by("nv_value", order).alias("nv_end"))
     spine = df.sparkSession.range(chunks).toDF("nv_chunk").join(ends, "nv_chunk", "left")
     before = Window.orderBy("nv_chunk").rowsBetween(Window.unboundedPreceding, -1)

@@ -292,6 +292,67 @@ def xlsx_active_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("path", "sheet", F.get("cells", F.lit(0)).alias("c0"), F.get("cells", F.lit(1)).alias("c1"))
 
 
+def xlsx_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers, dates and booleans in cells: orders in workbooks of at most REPORT rows, read back as texts with their kinds."""
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"), F.expr(f"o_orderkey div {REPORT}").alias("book"))
+    books = rows.groupBy("book").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderdate"))).alias("rows"))
+
+    def write(frames):
+        for frame in frames:
+            made = [workbook.write_workbook({"Orders": [[int(r["o_orderkey"]), r["o_orderdate"], r["o_orderkey"] % 2 == 0] for r in x]}) for x in frame["rows"]]
+            yield frame[["book"]].assign(content=made)
+
+    folder = new_folder(spark, "typed-workbooks")
+    write_files(books.mapInPandas(write, "book long, content binary").select(F.concat(F.lit("b"), "book", F.lit(".xlsx")).alias("name"), "content"), folder)
+    made = workbook.workbook_rows(workbook.read_workbooks(spark, folder), widen=False)
+    return made.select(*[F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(3)], F.concat_ws(",", "kinds").alias("kinds"))
+
+
+def points_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store of points after one of three was sent again with another NAV, and all of those once more."""
+    folder, navs = new_folder(spark, "points-merge"), event_navs(table(spark, sf_dir, "events"))
+    points.merge_points(report.accepted(points.nav_points(navs)), folder, 1)
+    again = navs.where("id % 3 = 0").withColumn("nav", (F.col("nav").cast("double") + 1).cast("string"))
+    for written in (2, 2):
+        points.merge_points(report.accepted(points.nav_points(again)), folder, written)
+    return points.read_points(spark, folder).select("measurement", "mutual_fund_name", "db_record_time", "time", "nav")
+
+
+def nav_store_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points of one house within a day, from a store that is clustered by day."""
+    folder = new_folder(spark, "points-store")
+    points.write_points(
+        table(spark, sf_dir, "events").select(
+            F.col("event_type").alias("measurement"), F.col("user_id").cast("string").alias("mutual_fund_name"), F.lit(0).cast("long").alias("db_record_time"), F.col("ts").alias("time"), F.col("value").alias("nav")
+        ),
+        folder,
+    )
+    return points.nav_range_query(points.read_points(spark, folder), "error", AS_OF).select("measurement", "mutual_fund_name", "time", "nav")
+
+
+def queue_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What arrives in one of three queues, bound to two keys, one of which another queue is bound to as well."""
+    folder = new_folder(spark, "queues")
+    rows = table(spark, sf_dir, "events").select(F.col("event_type").alias("routing_key"), F.concat_ws(":", "event_id", "props").alias("body"))
+    messages.publish_to_queues(rows, [("purchase", "sales"), ("purchase", "all queue"), ("error", "all queue"), ("none", "idle")], folder)
+    return spark.read.schema("routing_key string, body string").json(messages.queue_path(folder, "all queue"))
+
+
+def message_decode_any(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of two record types, decoded without naming a field."""
+    return messages.decode_any(_two_shapes(spark, sf_dir)).select("conv_id", "idx", "turn", "role", "text")
+
+
+def stream_report_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """HTML messages, those whose number three divides in a later run: older ones among them replace nothing."""
+    folder = new_folder(spark, "late-messages")
+    pages = order_reports(table(spark, sf_dir, "orders")).select(F.substring("file", 2, 20).cast("long").alias("msg_id"), "html")
+    for late in (False, True):
+        pages.where((F.col("msg_id") % 3 == 0) == F.lit(late)).write.mode("append").json(f"{folder}/in")
+        done = streams.stream_report_replace(spark, f"{folder}/in", f"{folder}/out", f"{folder}/state")
+    return done.select("msg_id", "id", "amc_mutual_fund", "mutual_fund_name", "nav")
+
+
 def header_promote(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = workbook.promote_header(_workbooks(spark, sf_dir, "nation", active_only=True))
     return named.select(*[F.try_element_at("record", F.lit(c)).alias(c) for c in ("n_nationkey", "n_name", "n_regionkey")])
@@ -380,7 +441,8 @@ QUERIES = {
         constraint_pk, message_encode, message_decode, route_messages, message_shape, stream_nav_points, stream_report_replace,
         availability_calendar, report_fetch_plan, scheme_codes, latest_quote, nav_history, trailing_return, xlsx_rows, header_promote,
         report_folder_rows, nav_value_table, scheme_master, scheme_performance, stream_message_shape, stream_nav_rejects, xlsx_active_rows,
-        section_links, section_first_link, cell_first_links, nested_section_links, nested_cell_links, spanned_table_rows, sheet_text, instrument_names, prompt_render, answer_to_names, batch_infer, page_links, page_first_link, head_rows, flagship,
+        section_links, section_first_link, cell_first_links, nested_section_links, nested_cell_links, spanned_table_rows,
+        xlsx_typed_rows, points_merge, nav_store_query, queue_fan_out, message_decode_any, stream_report_late, sheet_text, instrument_names, prompt_render, answer_to_names, batch_infer, page_links, page_first_link, head_rows, flagship,
     )
 }
 
@@ -493,6 +555,15 @@ SQL = {
     "xlsx_active_rows": f"""
         SELECT 'b' || (s_suppkey // {REPORT}) AS path, 'Sheet' AS sheet, s_suppkey::VARCHAR AS c0, s_name AS c1 FROM supplier
         UNION ALL SELECT DISTINCT 'b' || (s_suppkey // {REPORT}), 'Sheet', 's_suppkey', 's_name' FROM supplier""",
+    "xlsx_typed_rows": """
+        SELECT o_orderkey::VARCHAR AS c0, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS c1, CASE WHEN o_orderkey % 2 = 0 THEN 'TRUE' ELSE 'FALSE' END AS c2,
+            'number,date,boolean' AS kinds FROM orders""",
+    "points_merge": """
+        WITH p AS (SELECT event_type AS measurement, user_id::VARCHAR AS mutual_fund_name, epoch_us(ts) // 1000 AS db_record_time,
+            CAST(date_trunc('day', ts) AS TIMESTAMP) AS time, value, event_id % 3 = 0 AS again FROM events WHERE value IS NOT NULL)
+        SELECT measurement, mutual_fund_name, db_record_time, time, coalesce(max(value + 1) FILTER (again), max(value)) AS nav FROM p GROUP BY ALL""",
+    "queue_fan_out": "SELECT event_type AS routing_key, concat_ws(':', event_id, props) AS body FROM events WHERE event_type IN ('purchase', 'error')",
+    "message_decode_any": "SELECT conv_id, turn::VARCHAR AS idx, turn, role, CASE WHEN conv_id % 2 = 0 THEN text END AS text FROM conversations",
     "header_promote": "SELECT n_nationkey::VARCHAR AS n_nationkey, n_name, n_regionkey::VARCHAR AS n_regionkey FROM nation",
     "sheet_text": r"""
         SELECT conv_id, 'turn' || chr(9) || 'role' || chr(9) || 'text' || chr(10) || string_agg(turn || chr(9) || coalesce(role, '') || chr(9) || coalesce(text, ''), chr(10) ORDER BY turn) AS text
@@ -537,5 +608,7 @@ SQL = {
         WHERE o_orderpriority = '2-HIGH' AND date_trunc('day', o_orderdate) >= TIMESTAMP '1998-12-01 00:00:00' - INTERVAL 400 DAY
             AND date_trunc('day', o_orderdate) < TIMESTAMP '1998-12-01 00:00:00'""",
 }
+SQL["nav_store_query"] = SQL["nav_range_query"]
+SQL["stream_report_late"] = SQL["stream_report_replace"]
 SQL["stream_nav_points"] = SQL["nav_points"]
 SQL["report_folder_rows"] = SQL["html_table_rows"]
