@@ -228,8 +228,7 @@ def stream_report_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def availability_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    urgent = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
-    return calendar.availability_calendar(urgent, "o_orderdate", CALENDAR_DAY)
+    return calendar.availability_calendar(table(spark, sf_dir, "orders"), "o_orderdate", CALENDAR_DAY)
 
 
 def report_fetch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -363,7 +362,7 @@ def sheet_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def instrument_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    padded = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" "), "p_name")).when(F.col("p_partkey") % 3 == 1, F.col("p_name"))
+    padded = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit(" "), "p_name")).when(F.col("p_partkey") % 3 == 1, F.col("p_name")).otherwise(F.concat("p_name", F.lit("  ")))
     return sheets.instrument_names(table(spark, sf_dir, "part").select(padded.alias(sheets.INSTRUMENT)))
 
 
@@ -535,7 +534,7 @@ SQL = {
         WITH {_ORDERS} SELECT o_orderkey // {REPORT} AS msg_id, i AS id, o_orderpriority || ' Mutual Fund' AS amc_mutual_fund,
             o_orderstatus AS mutual_fund_name, {_PRICE} AS nav FROM o WHERE o_orderkey // {REPORT} = (SELECT max(o_orderkey // {REPORT}) FROM orders)""",
     "availability_calendar": """
-        SELECT CAST(d AS DATE) AS date, CAST(EXISTS (SELECT 1 FROM orders WHERE o_orderpriority = '1-URGENT' AND CAST(o_orderdate AS DATE) = CAST(d AS DATE)) AS INTEGER) AS available
+        SELECT CAST(d AS DATE) AS date, CAST(EXISTS (SELECT 1 FROM orders WHERE CAST(o_orderdate AS DATE) = CAST(d AS DATE)) AS INTEGER) AS available
         FROM range(DATE '1998-10-22', DATE '1998-12-01', INTERVAL 1 DAY) t(d)""",
     "report_fetch_plan": f"SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, '{URL}?fDate=' || strftime(o_orderdate, '%Y-%b-%d') AS url FROM orders",
     "scheme_codes": "SELECT DISTINCT p_brand AS code, p_name AS scheme_name FROM part",
@@ -569,7 +568,7 @@ SQL = {
         SELECT conv_id, 'turn' || chr(9) || 'role' || chr(9) || 'text' || chr(10) || string_agg(turn || chr(9) || coalesce(role, '') || chr(9) || coalesce(text, ''), chr(10) ORDER BY turn) AS text
         FROM conversations GROUP BY conv_id""",
     "instrument_names": """
-        SELECT trim(name) AS name FROM (SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN ' ' || p_name WHEN 1 THEN p_name END AS name FROM part) WHERE name IS NOT NULL""",
+        SELECT trim(name) AS name FROM (SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN ' ' || p_name WHEN 1 THEN p_name ELSE p_name || '  ' END AS name FROM part) WHERE name IS NOT NULL""",
     "prompt_render": rf"""
         SELECT doc_id, '{PROMPT}' || chr(10) || chr(10) || array_to_string(string_split_regex(text, '\s+')[1:512], ' ') AS prompt FROM documents""",
     "answer_to_names": rf"""
