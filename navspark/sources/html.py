@@ -124,7 +124,7 @@ def _scanned(pages: pa.Array) -> pa.Array:
 
 _CELL = r"(?is)<t[dh]\b([^>]*)>(.*?)</t[dh]>"
 #: A table row whose cells are all closed, without quotes that hold a bracket, and nothing beside them.
-_PLAIN_ROW = r"(?is)^(?!.*\browspan\b)<tr\b[^>\x22\x27]*+>\s*+(?:<t[dh]\b(?:[^<>\x22\x27]++|\x22[^<>\x22]*+\x22|\x27[^<>\x27]*+\x27)*+>(?:[^<]++|<(?!/?t(?:[dhr]|able|head|body|foot)\b))*+</t[dh]>\s*+)++</tr>\s*+$"
+_PLAIN_ROW = r"(?is)^<tr\b[^>\x22\x27]*+>\s*+(?:<t[dh]\b(?:[^<>\x22\x27]++|\x22[^<>\x22]*+\x22|\x27[^<>\x27]*+\x27)*+>(?:[^<]++|<(?!/?t(?:[dhr]|able|head|body|foot)\b))*+</t[dh]>\s*+)++</tr>\s*+$"
 
 
 def _with_plain_rows(pages: DataFrame) -> DataFrame:
@@ -134,7 +134,7 @@ def _with_plain_rows(pages: DataFrame) -> DataFrame:
     """
     table = F.regexp_extract("nv_html", r"(?is)^(?:[^<]++|<(?!/?table\b))*+<table\b[^>\x22\x27]*+>\s*+(?:<tbody>)?(.*?)(?:</tbody>\s*+)?</table>", 1)
     cut = pages.withColumn("nv_rows", F.filter(F.split(table, r"(?i)(?=<tr\b)", -1), lambda p: ~p.rlike(r"^\s*$")))
-    return cut.withColumn("nv_plain", F.coalesce((F.size("nv_rows") > 0) & F.forall("nv_rows", lambda p: p.rlike(_PLAIN_ROW)), F.lit(False)))
+    return cut.withColumn("nv_plain", F.coalesce((F.size("nv_rows") > 0) & ~F.col("nv_html").rlike("(?i)rowspan") & F.forall("nv_rows", lambda p: p.rlike(_PLAIN_ROW)), F.lit(False)))
 
 
 def table_rows(reports: DataFrame, *keys: str) -> DataFrame:
