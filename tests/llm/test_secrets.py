@@ -4,6 +4,8 @@ import gzip
 import lzma
 import random
 import re
+import subprocess
+import sys
 import urllib.parse
 import zlib
 
@@ -118,6 +120,67 @@ def test_large_unpacked_data_in_bounded_memory():
     assert any(k == 0 for _, k, _ in S.secrets(damaged)[1])
 
 
+def wrapped_long(raw):
+    """Encodings of ``raw``, incompressible, each longer than the overlap of chunks."""
+    b64 = lambda x: base64.b64encode(x)
+    yield gzip.compress(raw)
+    yield zstandard.compress(raw)
+    yield b64(gzip.compress(raw))
+    yield b"x-" + b64(zlib.compress(raw)) + b"."
+    yield base64.encodebytes(lzma.compress(raw))
+    yield "".join(f"%{b:02x}" for b in bz2.compress(raw)).encode()
+    yield "".join(f"\\x{b:02x}" for b in gzip.compress(raw)).encode()
+    yield urllib.parse.quote(b64(b64(gzip.compress(raw))).decode(), safe="").encode()
+    yield "".join(f"\\u{b:04x}" for b in b64(gzip.compress(raw))).encode()
+    yield b64(gzip.compress(raw)).decode().encode("utf-16-le")
+    yield b64(gzip.compress(b64(gzip.compress(raw))))
+
+
+def test_long_runs_over_the_edges_of_chunks(monkeypatch):
+    monkeypatch.setattr(S, "CHUNK", 64 << 10)
+    monkeypatch.setattr(S, "OVERLAP", 4 << 10)
+    rnd = random.Random(5)
+    raw = "".join(rnd.choices("ghijklmnopqrstuvwxyzGHIJ,.;!?& ", k=98_000)).encode() + b"\npassword = hunter2hunter2"
+    for k, coded in enumerate(wrapped_long(raw)):
+        for before in (0, 40_000, 63_003):
+            packed = gzip.compress(b"word, " * (before // 6) + b";" * (before % 6) + coded + b" the end, " * 900)
+            text = "words " + base64.b64encode(packed).decode() + " more"
+            assert any(kind == 0 and (i, j) == (6, len(text) - 5) for i, kind, j in S.secrets(text)[1]), (k, before)
+
+
+def peak_mb(megabytes):
+    """Peak memory of a new process that scans base64(gzip) of so many MB of differing lines."""
+    code = (
+        "import base64, resource, sys, zlib\n"
+        "from navspark.llm import secrets as S\n"
+        "c, out = zlib.compressobj(9, wbits=31), []\n"
+        "for k in range(int(sys.argv[1]) * 16):\n"
+        "    out.append(c.compress(f'{k}, '.encode() + b'nothing, ' * 7280))\n"
+        "out += [c.compress(b'password = \"hunter2hunter2\"'), c.flush()]\n"
+        "found = S.secrets('words ' + base64.b64encode(b''.join(out)).decode())[1]\n"
+        "assert any(k == 0 for _, k, _ in found), found\n"
+        "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)\n"
+    )
+    return int(subprocess.run([sys.executable, "-c", code, str(megabytes)], capture_output=True, text=True, check=True).stdout)
+
+
+def test_memory_does_not_grow_with_unpacked_size():
+    assert peak_mb(60) < 1.2 * peak_mb(20)
+
+
+def test_deep_chains_and_a_file_that_unpacks_to_itself_in_part():
+    raw = b'password = "hunter2hunter2"'
+    for _ in range(150):
+        raw = gzip.compress(raw)
+    assert any(k == 0 for _, k, _ in S.secrets(base64.b64encode(raw).decode())[1])
+
+
+def test_percent_u_escapes():
+    secret = "token=abcdef123"
+    text = "é " + "".join(f"%u{ord(c):04x}" for c in secret) + " more"
+    assert S.secrets(text)[1] == [(2, 0, 2 + 6 * len(secret))]
+
+
 def test_partly_escaped_text_maps_back():
     assert S.secrets("x pass%77ord%3Dabcdefg.")[1] == [(2, 0, 23)]
     assert S.secrets("%61" * 24)[1] == [(0, 2, 72)]
