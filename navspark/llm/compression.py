@@ -49,10 +49,15 @@ def sample_text(text: bytes) -> bytes:
 
 
 def labelled(docs: DataFrame, labels: DataFrame, value: str, keep: Column, per_class: int) -> DataFrame:
-    """(text, label, half) of the bounded sample; each half calibrates what the other one builds."""
+    """(text, label, half) of the bounded sample; each half calibrates what the other one builds.
+
+    Of the texts that an id occurs with, one is learned from, so the sample
+    keeps its bound however often a labelled id repeats.
+    """
     sample = bounded_labels(labels, value, keep, per_class).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(2)))
     few = F.broadcast(sample.withColumnRenamed("doc_id", "nv_label_id"))  # at most 2 * per_class rows
-    return docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("nv_label_id")).select("text", "label", "half")
+    texts = docs.select("doc_id", "text").join(few, F.col("doc_id") == F.col("nv_label_id"))
+    return texts.groupBy("nv_label_id", "label", "half").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("text", "label", "half")
 
 
 def dictionary_texts(sample: DataFrame) -> list[tuple[bytes, int, int]]:

@@ -27,6 +27,8 @@ from navspark.llm.common import bloom_block, bloom_mask, cut, fresh
 WINDOW = 10
 #: Up to so many distinct windows (some 200 bytes each) are broadcast.
 BROADCAST_WINDOWS = 500_000
+#: The words and item ids of the windows that are broadcast have at most so many bytes, each window counted as WINDOW_BYTES more.
+BROADCAST_BYTES, WINDOW_BYTES = 128 << 20, 200
 #: The Bloom filter of a larger test set has at most so many blocks of 64 bits.
 MAX_BLOCKS = 1 << 20
 
@@ -80,9 +82,10 @@ def _hashed(df: DataFrame, lengths: list[int]) -> DataFrame:
 def window_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per row of ``docs``: ``keys``, n_words, spans (sorted array of (pos, len)), items (sorted array)."""
     tests = cut(test_windows(benchmark, window))
-    sizes = {r["m"]: r["count"] for r in tests.groupBy("m").count().collect()}  # at most ``window`` rows
-    lengths = sorted(sizes, reverse=True)
-    total = sum(sizes.values())
+    held = sum(F.octet_length(F.array_join(c, " ")).cast("long") for c in ("w", "items")) + WINDOW_BYTES
+    sizes = tests.groupBy("m").agg(F.count("*").alias("n"), F.sum(held).alias("bytes")).collect()  # at most ``window`` rows
+    lengths = sorted((r["m"] for r in sizes), reverse=True)
+    total, size = sum(r["n"] for r in sizes), sum(r["bytes"] for r in sizes)
     own = F.lit(None).cast("long")
     for m in lengths:
         own = F.when(F.col("t_len") == m, F.get(f"nv_h{m}", F.lit(0))).otherwise(own)
@@ -105,7 +108,7 @@ def window_hits(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, key
     rows = rows.select(*keys, "nv_rid", "nv_ws", "nv_p", "nv_h", pos.alias("nv_pos"), length.alias("nv_len"))
     there = F.slice(F.col("nv_ws"), F.col("nv_pos") + 1, F.col("nv_len"))
     hit = (F.col("nv_h") == F.col("t_h")) & (F.col("nv_len") == F.col("t_len"))
-    if total <= BROADCAST_WINDOWS:
+    if total <= BROADCAST_WINDOWS and size <= BROADCAST_BYTES:
         seen = rows.join(F.broadcast(tests), hit & (there == F.col("t_w")), "left")
     else:
         # Only places that a Bloom filter lets through are shuffled, each with its own words.

@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 
 from navspark.llm.common import BROADCAST_ROWS, bloom_block, bloom_mask, fresh, stored
 
-#: Lists of up to so many entries are broadcast (about 100 bytes each); longer ones are joined by shuffle.
+#: Lists of up to so many entries and BROADCAST_BYTES are broadcast; larger ones are joined by shuffle.
 BROADCAST_RULES = 200_000
-#: Verdicts of so many bytes of distinct URLs are broadcast.
+#: Lists of so many bytes, and verdicts of so many bytes of distinct URLs, are broadcast.
 BROADCAST_BYTES = 32 << 20
 #: The filter has at most so many blocks of 64 bits: 4 MB with their numbers.
 MAX_BLOCKS = 1 << 18
@@ -89,14 +89,15 @@ def _rule_hits(urls: DataFrame, rules: DataFrame) -> DataFrame:
     rules = rules.withColumns({"n": _labels(F.col("r_host")), "m": _prefix_length(F.col("r_path"))})
     rules = rules.withColumn("r_prefix", F.substr("r_path", F.lit(1), F.col("m"))).withColumn("e_k", F.xxhash64("r_host", "r_prefix"))
     # One row for each shape of entry: at most some eighty prefix lengths for each number of labels that occurs.
-    shapes = rules.groupBy("n", "m").count().collect()
-    total = sum(r["count"] for r in shapes)
+    held = F.sum((F.octet_length("r_host") + 2 * F.octet_length("r_path")).cast("long"))  # the prefix is a part of the path
+    shapes = rules.groupBy("n", "m").agg(F.count("*").alias("entries"), held.alias("bytes")).collect()
+    total, size = sum(r["entries"] for r in shapes), sum(r["bytes"] for r in shapes)
     lengths = F.array(*[F.struct(F.lit(r["n"]).alias("n"), F.lit(r["m"]).alias("m")) for r in shapes]) if shapes else F.array().cast("array<struct<n:int,m:int>>")
     seen = urls.withColumns({"host": url_host(F.col("u")), "path": url_path(F.col("u"))}).withColumns({"labels": _labels(F.col("host")), "size": F.length("path")})
     fit = F.filter(lengths, lambda s: (s["n"] <= F.col("labels")) & (s["m"] <= F.col("size")))
     part = lambda s: F.struct(F.call_function("substring_index", F.col("host"), F.lit("."), -s["n"]).alias("h"), F.substr(F.col("path"), F.lit(1), s["m"]).alias("p"))
     probes = seen.select("u", "path", F.explode(F.transform(fit, part)).alias("x")).select("u", "path", "x.h", "x.p", F.xxhash64("x.h", "x.p").alias("k"))
-    exact = F.broadcast(rules) if total <= BROADCAST_RULES else rules
+    exact = F.broadcast(rules) if total <= BROADCAST_RULES and size <= BROADCAST_BYTES else rules
     same = (F.col("k") == F.col("e_k")) & (F.col("h") == F.col("r_host")) & (F.col("p") == F.col("r_prefix")) & F.col("path").startswith(F.col("r_path"))
     longest = F.struct((F.length("r_host") + F.length("r_path")).alias("size"), F.concat("r_host", "r_path").alias("rule"), F.col("r_action").alias("action"))
     best = _possible(probes, rules, total).join(exact, same).groupBy("u").agg(F.max(longest).alias("best"))
@@ -107,9 +108,9 @@ def _listed_hits(urls: DataFrame, listed: DataFrame) -> DataFrame:
     """(u, listed): the distinct URLs whose canonical form ``listed`` (url) holds in any form."""
     entries = listed.select(canonical_url(F.col("url")).alias("e_url")).dropna().distinct().withColumn("e_k", F.xxhash64("e_url"))
     entries = stored(entries)
-    n = entries.count()
+    n, size = entries.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("e_url")), F.lit(0))).first()
     probes = urls.select("u", canonical_url(F.col("u")).alias("c")).dropna().withColumn("k", F.xxhash64("c"))
-    exact = F.broadcast(entries) if n <= BROADCAST_RULES else entries
+    exact = F.broadcast(entries) if n <= BROADCAST_RULES and size <= BROADCAST_BYTES else entries
     hits = _possible(probes, entries, n).join(exact, (F.col("k") == F.col("e_k")) & (F.col("c") == F.col("e_url")))
     return hits.select("u").distinct().withColumn("listed", F.lit(True))
 

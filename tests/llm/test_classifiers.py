@@ -77,6 +77,15 @@ def test_language_held_out(spark):
     assert right / n > 0.98
 
 
+def test_sample_keeps_its_bound_when_labelled_ids_repeat(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(2, None), (2, None), (3, "c")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 0), (3, 0)], "doc_id long, quality int")
+    sample = compression.labelled(docs, labels, "quality", F.lit(True), 10)
+    got = sorted((r.label, r.text or "") for r in sample.collect())
+    assert len(got) == 3 and got[0] == (0, "") and got[1] == (0, "c") and got[2][1].startswith("text ")
+    assert got == sorted((r.label, r.text or "") for r in compression.labelled(docs.repartition(7), labels, "quality", F.lit(True), 10).collect())
+
+
 def test_odd_rows(spark, odd, nothing, labels):
     keep = [c for c in odd.columns if c not in ("text", "score")]
     docs = odd.unionByName(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").withColumn("doc_id", F.col("doc_id") + 100), allowMissingColumns=True)

@@ -47,6 +47,12 @@ def test_cases(spark, odd, nothing):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(r[0] for r in want([(r.doc_id, r.text) for r in odd.collect()] + docs, items) if not r[2])
 
 
+def _broadcast(df):
+    """Names of the columns that the plan broadcasts."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    return " ".join(line for line in plan.splitlines() if "rightHint=(strategy=broadcast)" in line)
+
+
 def test_shuffled_join_gives_the_same(spark, documents, sf, monkeypatch):
     bench = spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text")
     long = " ".join(r.text for r in bench.orderBy("item_id").limit(3).collect()) + " and" + " other words, often the same" * 5000
@@ -55,5 +61,12 @@ def test_shuffled_join_gives_the_same(spark, documents, sf, monkeypatch):
     items = bench.unionByName(spark.createDataFrame([(-7, "nine ten"), (-8, "other words often the same other words")], "item_id long, text string"))
     broadcast = got(docs, items)
     assert {r[0] for r in broadcast if r[2]} >= {"-1", "-2"}
-    monkeypatch.setattr(D, "BROADCAST_WINDOWS", 0)
-    assert got(docs, items) == broadcast
+    with monkeypatch.context() as m:
+        m.setattr(D, "BROADCAST_WINDOWS", 0)
+        assert got(docs, items) == broadcast
+    monkeypatch.setattr(D, "BROADCAST_BYTES", 39_000)  # a few long words are too many bytes already
+    wide = items.where("item_id > 0").limit(1).unionByName(spark.createDataFrame([(-9, "é" * 20_000 + " nine")], "item_id long, text string"))
+    assert D.test_windows(wide).count() < D.BROADCAST_WINDOWS
+    held = docs.unionByName(spark.createDataFrame([(-4, "x " + "é" * 20_000 + " nine")], "doc_id long, text string"))
+    assert ("-4", 3, 2, "-9") in got(held, wide)
+    assert "t_h" not in _broadcast(D.window_hits(held, wide)) and "t_h" in _broadcast(D.window_hits(held, wide.where("item_id > 0")))

@@ -77,6 +77,16 @@ def test_listed_urls_in_any_form(spark, rules):
     assert urls.judge_urls(pages.limit(0), rules, listed=listed.limit(0)).count() == 0
 
 
+def test_lists_of_many_bytes_give_the_same(spark, rules, monkeypatch):
+    listed = spark.createDataFrame([("http://www.bad.net/x/",), ("x://b.org/" + "y" * 5000,)], "url string")
+    rows = ["https://bad.net/x?utm_a=1", "http://bad.net/x/y", "x://b.org/" + "y" * 5000, "https://m.example.com/en/712#a", None]
+    pages = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    want = sorted(urls.judge_urls(pages, rules, listed=listed).collect(), key=lambda r: r.page_id)
+    monkeypatch.setattr(urls, "BROADCAST_BYTES", 10)
+    assert sorted(urls.judge_urls(pages, rules, listed=listed).collect(), key=lambda r: r.page_id) == want
+    assert [r.verdict for r in want] == ["block", "allow", "block", "allow", "allow"]
+
+
 def test_long_rule_paths(spark):
     paths = ["/" + "p" * k for k in (63, 64, 100, 128, 1500)] + ["/" + "p" * 99 + "q"]
     rules = spark.createDataFrame([("block", "h.org", p) for p in paths], "action string, host string, path string")
