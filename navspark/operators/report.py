@@ -127,7 +127,9 @@ def ffill_chunked(df: DataFrame, order: str, value: Column, name: str, chunks: i
     the ranges before it end with is carried over a table of one row per range.
     """
     at = F.col(order).cast("double")
-    bounds = df.agg(F.percentile_approx(at, [k / chunks for k in range(1, chunks)], chunks)).first()[0] if chunks > 1 else []
+    shares = ", ".join(f"{k / chunks}D" for k in range(1, chunks))  # as text: a call to the JVM for each takes seconds
+    quantiles = F.expr(f"percentile_approx(nv_at, array({shares}), {chunks})")
+    bounds = df.select(at.alias("nv_at")).agg(quantiles).first()[0] if chunks > 1 else []
     inner = sorted({b for b in bounds or [] if abs(b) != float("inf")})
     bucket = Bucketizer(splits=[-float("inf"), *inner, float("inf")], inputCol="nv_at", outputCol="nv_chunk", handleInvalid="keep")
     placed = bucket.transform(df.withColumns({"nv_value": value, "nv_at": at})) if inner else df.withColumns({"nv_value": value, "nv_at": at, "nv_chunk": F.lit(0)})

@@ -154,11 +154,11 @@ def table_rows(reports: DataFrame, *keys: str) -> DataFrame:
     items = pages.select(*keys, F.when(F.col("nv_plain"), plain).otherwise(other).alias("nv_items"))
     rows = items.select(*keys, F.posexplode_outer("nv_items").alias("nv_pos", "nv_item")).where("nv_pos > 0")  # an inner one computes its input twice more
     rows = rows.select(*keys, (F.col("nv_pos") - 1).alias("line_no"), F.col("nv_item.row").alias("nv_row"), F.col("nv_item.texts").alias("nv_texts"))
-    values = _values(F.transform(F.regexp_extract_all("nv_row", F.lit(_CELL), F.lit(2)), M.without_tags))
+    found = F.when(F.col("nv_row").isNotNull(), F.regexp_extract_all("nv_row", F.lit(_CELL), F.lit(2))).otherwise(F.col("nv_texts"))
+    read = rows.select(*keys, "line_no", "nv_row", _values(F.transform(found, M.without_tags)).alias("nv_values"))
     widths = F.transform(F.regexp_extract_all("nv_row", F.lit(_CELL), F.lit(1)), _columns)
-    spread = F.flatten(F.zip_with(values, widths, F.array_repeat))
-    texts = _values(F.transform("nv_texts", M.without_tags))
-    return rows.select(*keys, "line_no", F.when(F.col("nv_row").isNotNull(), spread).otherwise(texts).alias("cells"))
+    spread = F.flatten(F.zip_with("nv_values", widths, F.array_repeat))
+    return read.select(*keys, "line_no", F.when(F.col("nv_row").rlike("(?i)colspan"), spread).otherwise(F.col("nv_values")).alias("cells"))
 
 
 def head_rows(lines: DataFrame, order: list[str], n: int = 5) -> DataFrame:
