@@ -23,16 +23,24 @@ URL_RULES = [
     ("allow", "net", "/de/"),
     ("block", "org", "/es/"),
 ]
-#: The listed URLs of op1 are those of the pages on such hosts.
+#: Of the listed URLs of op1, some are those of the pages on such hosts.
 LISTED_HOST = r"(^|\.)adult-"
 
 
+def _listed_urls(pages: DataFrame) -> DataFrame:
+    """URLs on listed hosts, and of mirrors: pages whose article a page with a smaller page_id has too."""
+    article = F.regexp_extract("html", r"(?s)<article>(.*)</article>", 1)
+    rows = pages.select("page_id", "url", F.when(article != "", F.sha2(article, 256)).alias("article"))
+    firsts = rows.where("article IS NOT NULL").groupBy("article").agg(F.min("page_id").alias("page_id"))
+    mirrors = rows.where("article IS NOT NULL").join(firsts.select("page_id"), "page_id", "left_anti").select("url")
+    return pages.where(urls.url_host(F.col("url")).rlike(LISTED_HOST)).select("url").union(mirrors)
+
+
 def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rules of the contract; beyond them, pages whose URL is another form of one on a listed host are blocked."""
+    """Rules of the contract; beyond them, pages are blocked whose URL is any form of a listed one."""
     rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
-    pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    listed = pages.where(urls.url_host(F.col("url")).rlike(LISTED_HOST)).select("url")
-    return urls.judge_urls(pages, rules, listed=listed).select("page_id", "host", "path", "rule", "verdict")
+    pages = table(spark, sf_dir, "pages")
+    return urls.judge_urls(pages.select("page_id", "url"), rules, listed=_listed_urls(pages)).select("page_id", "host", "path", "rule", "verdict")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,12 +241,15 @@ _WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 SQL = {
     "op1_url_filter": rf"""
-        WITH p AS (SELECT row_number() OVER () AS rid, page_id, url, {_HOST} AS host, {_PATH} AS path FROM pages),
+        WITH p AS (SELECT row_number() OVER () AS rid, page_id, url, {_HOST} AS host, {_PATH} AS path,
+                     nullif(regexp_extract(html, '<article>([\s\S]*)</article>', 1), '') AS article FROM pages),
+        firsts AS (SELECT min(page_id) AS page_id FROM p WHERE article IS NOT NULL GROUP BY article),
         q AS (SELECT rid, list_sort(list_filter(string_split(regexp_extract(url, '^[\s\S]*?://[^?#]*\?([^#]*)', 1), '&'),
                      lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_\w*|ref)(=|$)'))) AS params FROM p WHERE contains(url, '://')),
         c AS (SELECT rid, host, {_BARE} || regexp_replace(url_decode(replace(path, '+', '%2B')), '/+$', '')
                      || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END AS canonical FROM p JOIN q USING (rid)),
-        listed AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '(^|\.)adult-')),
+        listed AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '(^|\.)adult-')
+            OR rid IN (SELECT rid FROM p WHERE article IS NOT NULL AND NOT EXISTS (SELECT 1 FROM firsts WHERE firsts.page_id = p.page_id))),
         r(action, host, path) AS (VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'),
             ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
         fit AS (

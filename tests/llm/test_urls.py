@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from navspark.llm import urls
-from navspark.llm.queries import URL_RULES
+from navspark.llm.queries import LISTED_HOST, URL_RULES, op1_url_filter
 
 URLS = [
     ("https://m.Example.COM/en/712?x=/de/", "m.example.com", "/en/712", "example.com/en/7", "allow"),
@@ -93,3 +93,30 @@ def test_long_rule_paths(spark):
     rows = [f"x://h.org/{'p' * k}" for k in (10, 63, 90, 100, 127, 128, 1499, 1500, 1600)] + ["x://h.org/" + "p" * 99 + "qq"]
     want = [max((p for p in paths if u[9:].startswith(p)), key=len, default=None) for u in rows]
     assert [r[2] for r in judged(spark, rules, rows)] == [None if w is None else "h.org" + w for w in want]
+
+
+def test_query_blocks_mirrors_in_any_form(spark, tmp_path):
+    """Verdicts that no pattern of hosts gives: one host has blocked and allowed pages."""
+    page = lambda a: f"<html><article>{a}</article></html>"
+    rows = [
+        (1, "http://a.fr/fr/1", page("one\ntext")),
+        (2, "http://a.fr/fr/2?utm_source=feed", page("one\ntext")),
+        (3, "https://www.a.fr/fr/2/#top", page("another")),
+        (4, "http://a.fr/fr/2?page=2", page("a third")),
+        (5, "http://x.com/en/5", page("one\ntext")),
+        (6, "http://a.adult-x.fr/6", page("a fourth")),
+        (7, "http://a.fr/fr/7", page("")),
+        (8, "http://a.fr/fr/8", page("")),
+        (9, "http://a.fr/fr/9", None),
+        (10, None, page("another")),
+        (None, "http://a.fr/fr/11", page("one\ntext")),
+    ]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r.verdict for r in op1_url_filter(spark, str(tmp_path)).collect()}
+    assert {k for k, v in got.items() if v == "block"} == {2, 3, 5, 6, None} and len(got) == len(rows)
+
+
+def test_list_of_the_query_decides(spark, sf):
+    found = op1_url_filter(spark, sf).where("rule IS NULL")
+    listed = found.where((F.col("verdict") == "block") & ~F.col("host").rlike(LISTED_HOST))
+    assert listed.join(found.where("verdict = 'allow'"), "host", "left_semi").count() > 0
