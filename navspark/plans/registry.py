@@ -228,7 +228,8 @@ def stream_report_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def availability_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return calendar.availability_calendar(table(spark, sf_dir, "orders"), "o_orderdate", CALENDAR_DAY)
+    """A calendar for each priority."""
+    return calendar.availability_calendar(table(spark, sf_dir, "orders"), "o_orderdate", CALENDAR_DAY, keys=["o_orderpriority"])
 
 
 def report_fetch_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -534,8 +535,9 @@ SQL = {
         WITH {_ORDERS} SELECT o_orderkey // {REPORT} AS msg_id, i AS id, o_orderpriority || ' Mutual Fund' AS amc_mutual_fund,
             o_orderstatus AS mutual_fund_name, {_PRICE} AS nav FROM o WHERE o_orderkey // {REPORT} = (SELECT max(o_orderkey // {REPORT}) FROM orders)""",
     "availability_calendar": """
-        SELECT CAST(d AS DATE) AS date, CAST(EXISTS (SELECT 1 FROM orders WHERE CAST(o_orderdate AS DATE) = CAST(d AS DATE)) AS INTEGER) AS available
-        FROM range(DATE '1998-10-22', DATE '1998-12-01', INTERVAL 1 DAY) t(d)""",
+        SELECT p AS o_orderpriority, CAST(d AS DATE) AS date,
+            CAST(EXISTS (SELECT 1 FROM orders WHERE o_orderpriority IS NOT DISTINCT FROM p AND CAST(o_orderdate AS DATE) = CAST(d AS DATE)) AS INTEGER) AS available
+        FROM (SELECT DISTINCT o_orderpriority AS p FROM orders), range(DATE '1998-10-22', DATE '1998-12-01', INTERVAL 1 DAY) t(d)""",
     "report_fetch_plan": f"SELECT DISTINCT CAST(o_orderdate AS DATE) AS date, '{URL}?fDate=' || strftime(o_orderdate, '%Y-%b-%d') AS url FROM orders",
     "scheme_codes": "SELECT DISTINCT p_brand AS code, p_name AS scheme_name FROM part",
     "latest_quote": "SELECT user_id, arg_max(ts, (ts, event_id)) AS time, arg_max(value, (ts, event_id)) AS nav FROM events GROUP BY user_id",
