@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from navspark.functions import markup as M
+from navspark.functions.shared import text_parts
 from navspark.functions.text import missing_to_null, plain_number, strip
 
 #: What a page says that has no report for its date.
@@ -117,9 +119,23 @@ def _place(out: list[list[str]], held: list[tuple[int, int, str, int]], cells: l
     return after
 
 
+_ROWS = pa.list_(pa.list_(pa.string()))
+
+
 @F.arrow_udf(T.ArrayType(T.ArrayType(T.StringType())))
-def _scanned(pages: pa.Array) -> pa.Array:
-    return pa.array([None if p is None else _scan(p) for p in pages.to_pylist()], pa.list_(pa.list_(pa.string())))
+def _scanned(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The rows of a page at the null behind its parts, else null; the parts of a page follow each other, one page is held at a time."""
+    page: list[str] = []
+    for batch in batches:
+        made, n = [pa.nulls(0, _ROWS)], 0  # n: rows of the batch since those made
+        for part in batch.to_pylist():
+            if part is not None:
+                page.append(part)
+            elif page:
+                made += [pa.nulls(n, _ROWS), pa.array([_scan("".join(page))], _ROWS)]
+                page, n = [], -1
+            n += 1
+        yield pa.concat_arrays([*made, pa.nulls(n, _ROWS)])
 
 
 _CELL = r"(?is)<t[dh]\b([^>]*)>(.*?)</t[dh]>"
@@ -144,14 +160,18 @@ def table_rows(reports: DataFrame, *keys: str) -> DataFrame:
     of a head come first, those of a foot last. A cell that spans columns or
     rows is repeated in each of them; missing texts become null. End tags may be
     left out, and a cell outside a row begins one. The text of a table inside a
-    cell is part of that cell. Each row of ``reports`` is a page of its own.
+    cell is part of that cell. Each row of ``reports`` is a page of its own. Pages
+    that Python scans reach it in parts, so that its memory does not depend on
+    how many pages there are.
     """
     keys = keys or ("file",)
     pages = _with_plain_rows(reports.select(*keys, M.visible(F.col("html")).alias("nv_html")))
+    parts = F.explode_outer(text_parts(F.when(~F.col("nv_plain"), F.col("nv_html"))))
+    parted = pages.select(*keys, F.when(F.col("nv_plain"), F.col("nv_rows")).alias("nv_rows"), parts.alias("nv_part"))
     item = "array<struct<row: string, texts: array<string>>>"
     plain = F.transform("nv_rows", lambda r: F.struct(r, F.lit(None))).cast(item)
-    other = F.transform(_scanned(F.when(~F.col("nv_plain"), F.col("nv_html"))), lambda t: F.struct(F.lit(None), t)).cast(item)
-    items = pages.select(*keys, F.when(F.col("nv_plain"), plain).otherwise(other).alias("nv_items"))
+    other = F.transform(_scanned("nv_part"), lambda t: F.struct(F.lit(None), t)).cast(item)
+    items = parted.select(*keys, F.coalesce(plain, other).alias("nv_items"))
     rows = items.select(*keys, F.posexplode_outer("nv_items").alias("nv_pos", "nv_item")).where("nv_pos > 0")  # an inner one computes its input twice more
     rows = rows.select(*keys, (F.col("nv_pos") - 1).alias("line_no"), F.col("nv_item.row").alias("nv_row"), F.col("nv_item.texts").alias("nv_texts"))
     found = F.when(F.col("nv_row").isNotNull(), F.regexp_extract_all("nv_row", F.lit(_CELL), F.lit(2))).otherwise(F.col("nv_texts"))
