@@ -6,10 +6,16 @@ parts or events); their number grows with the table.
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from navspark.sources import workbook
+
 REPORT = 500
 
 
@@ -143,16 +149,16 @@ def spanned_pages(orders: DataFrame) -> DataFrame:
     return made.groupBy("file").agg(F.concat(F.lit("<p>x<table><tr><th>c<th>o<th>p<th>q"), lines, F.lit("</table><table><tr><td>no</table>")).alias("html"))
 
 
-def write_files(files: DataFrame, folder: str) -> None:
-    """Writes (name, content) rows as files of the shared folder, each where its row is."""
+def write_books(rows: DataFrame, folder: str, name: str, order: list[str], sheets: Callable[[list[dict]], dict[str, list[list[object]]]]) -> None:
+    """Writes a workbook of the shared folder for each value of ``name``, with the ``sheets`` of its rows; a task holds the rows of one workbook."""
 
-    def run(frames):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = FileSystem.from_uri(folder) if "://" in folder else (LocalFileSystem(), folder.removeprefix("file:"))
-        for frame in frames:
-            for name, content in zip(frame["name"], frame["content"], strict=True):
-                fs.create_dir(root, recursive=True)
-                with fs.open_output_stream(f"{root}/{name}") as out:
-                    out.write(bytes(content))
-            yield frame[["name"]]
-
-    files.select("name", "content").mapInPandas(run, "name string").count()
+        fs.create_dir(root, recursive=True)
+        each = (row for batch in batches for row in batch.to_pylist())
+        for book, own in itertools.groupby(each, key=lambda row: row[name]):
+            with fs.open_output_stream(f"{root}/{book}.xlsx") as out:
+                out.write(workbook.write_workbook(sheets(list(own))))
+            yield pa.record_batch({"name": [book]})
+
+    rows.repartition(name).sortWithinPartitions(name, *order).mapInArrow(run, "name string").count()

@@ -21,7 +21,7 @@ from navspark.plans.carriers import (
     spanned_pages,
     spoiled_navs,
     table,
-    write_files,
+    write_books,
 )
 from navspark.sources import html, tabular, workbook
 from navspark.streaming import messages as streams
@@ -267,16 +267,9 @@ def _workbooks(spark: SparkSession, sf_dir: str, name: str, active_only: bool =
     rows = table(spark, sf_dir, name)
     key, columns = rows.columns[0], rows.columns
     cells = F.array(*[F.col(c).cast("string") for c in columns])
-    grouped = rows.withColumn("path", F.concat(F.lit("b"), F.expr(f"{key} div {REPORT}"))).groupBy("path")
-    books = grouped.agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("o"), cells.alias("cells")))).alias("rows"))
-
-    def write(frames):
-        for frame in frames:
-            made = [workbook.write_workbook({"Sheet": [columns, *[list(r["cells"]) for r in x]], "Count & more": [["rows"], [str(len(x))]]}) for x in frame["rows"]]
-            yield frame[["path"]].assign(content=made)
-
+    lines = rows.select(F.concat(F.lit("b"), F.expr(f"{key} div {REPORT}")).alias("book"), F.col(key).alias("o"), cells.alias("cells"))
     folder = new_folder(spark, "workbooks")
-    write_files(books.mapInPandas(write, "path string, content binary").select(F.concat("path", F.lit(".xlsx")).alias("name"), "content"), folder)
+    write_books(lines, folder, "book", ["o", "cells"], lambda x: {"Sheet": [columns, *[r["cells"] for r in x]], "Count & more": [["rows"], [str(len(x))]]})
     rows = workbook.workbook_rows(workbook.read_workbooks(spark, folder), active_only)
     return rows.withColumn("path", F.regexp_extract("path", r"([^/]+)\.xlsx$", 1))
 
@@ -294,16 +287,10 @@ def xlsx_active_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def xlsx_typed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers, dates and booleans in cells: orders in workbooks of at most REPORT rows, read back as texts with their kinds."""
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"), F.expr(f"o_orderkey div {REPORT}").alias("book"))
-    books = rows.groupBy("book").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderdate"))).alias("rows"))
-
-    def write(frames):
-        for frame in frames:
-            made = [workbook.write_workbook({"Orders": [[int(r["o_orderkey"]), r["o_orderdate"], r["o_orderkey"] % 2 == 0] for r in x]}) for x in frame["rows"]]
-            yield frame[["book"]].assign(content=made)
-
+    book = F.concat(F.lit("b"), F.expr(f"o_orderkey div {REPORT}"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"), book.alias("book"))
     folder = new_folder(spark, "typed-workbooks")
-    write_files(books.mapInPandas(write, "book long, content binary").select(F.concat(F.lit("b"), "book", F.lit(".xlsx")).alias("name"), "content"), folder)
+    write_books(rows, folder, "book", ["o_orderkey", "o_orderdate"], lambda x: {"Orders": [[r["o_orderkey"], r["o_orderdate"], r["o_orderkey"] % 2 == 0] for r in x]})
     made = workbook.workbook_rows(workbook.read_workbooks(spark, folder), widen=False)
     return made.select(*[F.get("cells", F.lit(i)).alias(f"c{i}") for i in range(3)], F.concat_ws(",", "kinds").alias("kinds"))
 
