@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,3 +47,19 @@ def windows(offsets: np.ndarray, width: int, stride: int) -> tuple[np.ndarray, n
     number = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
     start = offsets[:-1][owner] + number * stride
     return start, np.minimum(width, offsets[1:][owner] - start), owner
+
+
+def give_back() -> None:
+    """Memory that Arrow and C no longer use goes back to the system: a Python worker outlives its tasks, and others run beside it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # other C libraries have none
+    if trim is not None:
+        trim(0)
+
+
+def begin_task() -> None:
+    """To be called where a task begins that does not tokenize: drops the vocabulary and the cache that ``packing`` keeps in its workers."""
+    packing = sys.modules.get("navspark.llm.packing")
+    if packing is not None:
+        packing.encoder.cache_clear()
+    give_back()

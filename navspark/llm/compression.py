@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from navspark.llm.arrow_text import text_bytes
+from navspark.llm.arrow_text import begin_task, give_back, text_bytes
 from navspark.llm.common import bounded_labels
 
 #: A sampled text gives the dictionaries at most so many windows, evenly spaced over all of it.
@@ -109,10 +109,12 @@ def features(df: DataFrame, of_texts: Callable[[bytes, np.ndarray], np.ndarray],
     schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + [f"`{n}` double" for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         for b in batches:
             data, offsets = text_bytes(b.column("text"))
             made = of_texts(data.tobytes(), offsets)
             yield pa.RecordBatch.from_arrays([b.column(c) for c in keep] + [pa.array(made[:, i]) for i in range(len(names))], keep + names)
+            give_back()
 
     return kept.mapInArrow(run, schema)
 

@@ -46,7 +46,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navspark.llm.arrow_text import runs, text_bytes
+from navspark.llm.arrow_text import begin_task, give_back, runs, text_bytes
 from navspark.llm.common import drop_stored, keep_rows, small, stored
 
 SHINGLE = 5
@@ -177,6 +177,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     kind = dict(rows.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
             for i, j in _short_runs(offsets):
@@ -188,6 +189,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     [*(batch.column(c).slice(i, j - i) for c in ("doc_id", "rid", "th")), pa.array(k1), pa.array(k2), pa.array(n), lists],
                     ["doc_id", "rid", "th", "k1", "k2", "n_words", "buckets"],
                 )
+            give_back()
 
     return rows.mapInArrow(run, f"doc_id {kind}, rid long, th long, k1 long, k2 long, n_words long, buckets array<long>")
 
@@ -218,14 +220,15 @@ def _texts(docs: DataFrame) -> DataFrame:
     """k1, k2, z: texts, compressed, by the digest of their words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin_task()
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             data, offsets = text_bytes(batch.column("text"))
-            raw = data.tobytes()
             for i, j in _short_runs(offsets):
                 k1, k2, *_ = _identity(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                z = [press.compress(raw[a:b]) for a, b in zip(offsets[i:j], offsets[i + 1 : j + 1], strict=True)]
+                z = [press.compress(data[a:b]) for a, b in zip(offsets[i:j], offsets[i + 1 : j + 1], strict=True)]
                 yield pa.RecordBatch.from_arrays([pa.array(k1), pa.array(k2), pa.array(z, pa.binary())], ["k1", "k2", "z"])
+            give_back()
 
     return docs.select("text").mapInArrow(run, "k1 long, k2 long, z binary")
 
@@ -273,6 +276,8 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         for batch in batches:
             sims = [similarity(sequence(x), sequence(y)) for x, y in zip(batch.column("za").to_pylist(), batch.column("zb").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(sims, pa.float64())], ["a", "b", "sim"])
+        sequence.cache_clear()
+        give_back()
 
     out = stored(both.select("a", "b", "za", "zb").mapInArrow(run, "a long, b long, sim double"))
     drop_stored(pairs)

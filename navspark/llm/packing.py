@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from navspark.llm.arrow_text import runs, text_bytes
+from navspark.llm.arrow_text import give_back, runs, text_bytes
 from navspark.llm.common import cut
 
 CAPACITY = 2048
@@ -54,7 +54,7 @@ class Encoder:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.known: dict[bytes, tuple[int, int]] = {}
+        self.known: dict[bytes, int] = {}  # place in the pool << 32 | number of ids
         self.pool = array("I")
         self.specials = [t["content"].encode() for t in spec.get("added_tokens") or []]
         self._whole = None
@@ -99,8 +99,7 @@ class Encoder:
         start, begins = self._stretches(data, offsets)
         end = np.append(start[1:], len(data))
         first, which = _distinct(data, start, end)
-        place = np.zeros(len(first), np.int64)
-        size = np.zeros(len(first), np.int64)
+        packed = np.zeros(len(first), np.int64)
         spare = array("I")  # ids of stretches beyond what the cache may hold
         for k, (i, j) in enumerate(zip(start[first].tolist(), end[first].tolist(), strict=True)):
             piece = raw[i:j]
@@ -110,12 +109,13 @@ class Encoder:
                 special = self.specials and any(s in piece for s in self.specials)
                 made = self._by_library(text) if special else self._encode(text)
                 if len(self.known) < CACHE:
-                    found = self.known[piece] = (len(self.pool), len(made))
+                    found = self.known[piece] = len(self.pool) << 32 | len(made)
                     self.pool.extend(made)
                 else:
-                    found = (-1 - len(spare), len(made))
+                    found = (-1 - len(spare)) << 32 | len(made)
                     spare.extend(made)
-            place[k], size[k] = found
+            packed[k] = found
+        place, size = packed >> 32, packed & 0xFFFFFFFF
         place = np.where(place < 0, len(self.pool) - 1 - place, place)
         pool = np.concatenate([np.frombuffer(x, np.uint32) if len(x) else np.zeros(0, np.uint32) for x in (self.pool, spare)])
         each = size[which]
@@ -210,6 +210,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
                     [batch.column("doc_id").take(take), batch.column("rid").take(take), pa.array(number.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc)],
                     ["doc_id", "rid", "piece", "start", "length", "ids_crc32"],
                 )
+            give_back()
 
     return rows.mapInArrow(run, schema)
 
